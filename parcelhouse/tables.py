@@ -422,7 +422,7 @@ _DECLARED = (
     Table(
         "meta.pipeline_runs",
         (
-            text("run_id", 50, True),
+            column("run_id", "bigint", True),
             column("started_at", "timestamp", True),
             column("finished_at", "timestamp"),
             text("status", 20, True),
