@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from parcelhouse.functions.columns import GRAND_TOTAL, ratio, rows
 from parcelhouse.functions.labels import NEVER_COMPLETED, RECONCILED, shown_category
 
-LATE = F.count_if("delivered_late")
-JUDGED = F.count("delivered_late")
+
+def _late() -> Column:
+    return F.count_if("delivered_late")
+
+
+def _judged() -> Column:
+    """Orders with a delivery result."""
+    return F.count("delivered_late")
 
 
 def _mean(total: Column, count: Column, places: int = 2) -> Column:
@@ -40,15 +46,15 @@ def late_rate(delivery: DataFrame) -> DataFrame:
 
 def _late_by(delivery: DataFrame, *keys) -> DataFrame:
     return delivery.groupBy(*keys).agg(
-        JUDGED.alias("delivered_orders"), LATE.alias("late_orders"),
-        ratio(LATE, JUDGED).alias("late_rate"),
+        _judged().alias("delivered_orders"), _late().alias("late_orders"),
+        ratio(_late(), _judged()).alias("late_rate"),
     )
 
 
 def late_rate_by_month(delivery: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Orders are first counted per day, so the calendar joins one row per day."""
     per_day = delivery.groupBy(F.col("purchase_date_key").alias("date_key")).agg(
-        JUDGED.alias("judged"), LATE.alias("late")
+        _judged().alias("judged"), _late().alias("late")
     )
     months = dim_date.select("date_key", "year", "month")
     judged, late = F.sum("judged"), F.sum("late")
