@@ -62,7 +62,7 @@ class Store:
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         return path, counted.get["rows"]
 
-    def write_all(self, frames: dict[str, DataFrame], at_once: int = 4) -> dict[str, tuple[str, int]]:
+    def write_all(self, frames: dict[str, DataFrame], at_once: int = 8) -> dict[str, tuple[str, int]]:
         """Write drafts side by side: small tables do not fill a cluster on their own."""
         with ThreadPoolExecutor(at_once) as pool:
             jobs = {name: pool.submit(self.write, name, df) for name, df in frames.items()}
