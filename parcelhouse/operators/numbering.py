@@ -26,16 +26,23 @@ def oversized_groups(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> dic
 
 
 def number_within(
-    df: DataFrame, key: str, order: list[str], name: str, limit: int = ROWS_PER_TASK
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    name: str,
+    hot: dict,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `name`: 1, 2, 3... within each `key`, in the order of `order`.
 
+    `hot` holds the oversized groups and their rough sizes. It decides how the work is
+    spread, never what the numbers are.
+
     Ordinary groups take one window sort. Rows of oversized groups are spread over all
     tasks by value range; the number is then the place within the range plus the size of
     the group's earlier ranges. The ranges are checkpointed, because a range boundary that
     moved between two uses would give wrong numbers.
     """
-    hot = oversized_groups(df, key, limit)
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
     if not hot:
         return df.withColumn(name, place)

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Adaptive execution picks joins and partition sizes from what the stages really hold.
 # Hot keys in joins are split at run time by adaptive execution. By default it leaves a
 # skewed join alone when the split would cost another shuffle later in the plan; with a
 # third of the rows on one key the extra shuffle is always the cheaper choice.
@@ -14,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Spark broadcasts a table by the size of its files. Parquet unpacks to a multiple of
+    # that, so without the factor a side well above the limit would be broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
 }
 
