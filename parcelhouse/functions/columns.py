@@ -26,13 +26,16 @@ def day_key(moment: str) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
-def exact_mean(total: Column, rows: Column, places: int, kind: str) -> Column:
-    """total / rows with one rounding at the end.
+def quotient(part: Column, whole: Column, places: int, kind: str, scale: int = 2) -> Column:
+    """part / whole with one rounding, at the end.
 
-    avg() of a decimal rounds to a few extra places first, which can turn a value just
-    under a half into a half; the quotient of a sum and a count keeps many more.
+    Division keeps few places when its operands are declared wide, as sums of sums are, and
+    avg() rounds to a few extra places as well; either can turn a value just under a half
+    into a half. Both operands are therefore narrowed to what totals need, which leaves the
+    quotient at least 16 places.
     """
-    return F.round(total / rows, places).cast(kind)
+    exact = part.cast(f"decimal(22,{scale})") / whole.cast("decimal(20,2)")
+    return F.round(exact, places).cast(kind)
 
 
 def rows() -> Column:
@@ -41,5 +44,4 @@ def rows() -> Column:
 
 def ratio(part: Column, whole: Column, places: int = 6) -> Column:
     """part / whole of two counts as a rounded decimal; NULL when whole is 0."""
-    share = part.cast("decimal(20,0)") / F.nullif(whole.cast("decimal(20,0)"), F.lit(0))
-    return F.round(share, places).cast(f"decimal({places + 3},{places})")
+    return quotient(part, F.nullif(whole, F.lit(0)), places, f"decimal({places + 3},{places})")

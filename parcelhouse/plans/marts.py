@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.functions.columns import exact_mean, rows
+from parcelhouse.functions.columns import TOTAL, quotient, rows
 from parcelhouse.functions.labels import delivery_category, installment_band, shown_category
 from parcelhouse.operators.grouping import with_counts
 from parcelhouse.tables import shaped
@@ -45,8 +45,8 @@ def category_performance(fact_items: DataFrame, dim_product: DataFrame) -> DataF
         price.alias("product_value"),
         freight.alias("freight_value"),
         total.alias("total_value"),
-        exact_mean(price, F.sum("n"), 2, "decimal(10,2)").alias("avg_item_price"),
-        exact_mean(freight, total, 4, "decimal(5,4)").alias("freight_share"),
+        quotient(price, F.sum("n"), 2, "decimal(10,2)").alias("avg_item_price"),
+        quotient(freight, total, 4, "decimal(5,4)").alias("freight_share"),
     )
     return shaped(grouped, "marts.category_performance")
 
@@ -81,8 +81,6 @@ def customer_performance(
     )
     with_items = F.count_if(F.col("item_count") > 0)
     spent = F.sum("item_total_value")
-    # sum() of no scores is NULL, and so is the mean of a person without reviews.
-    score = F.sum("score_sum").cast("decimal(20,0)") / F.sum("scores").cast("decimal(20,0)")
     grouped = bought.groupBy("customer_unique_id").agg(
         F.max_by("customer_state", F.struct("bought_on", "order_id")).alias("customer_state"),
         F.min("bought_on").alias("first_purchase_date"),
@@ -90,10 +88,11 @@ def customer_performance(
         rows().alias("order_count"),
         F.sum("item_count").alias("item_count"),
         spent.alias("total_spent"),
-        F.round(spent / F.nullif(with_items, F.lit(0)), 2).alias("avg_order_value"),
+        quotient(spent, F.nullif(with_items, F.lit(0)), 2, TOTAL).alias("avg_order_value"),
         F.count("delivered_late").alias("delivered_orders"),
         F.count_if("delivered_late").alias("late_deliveries"),
-        F.round(score, 2).alias("avg_review_score"),
+        # Sums of no scores are NULL, and so is the mean of a person without reviews.
+        quotient(F.sum("score_sum"), F.sum("scores"), 2, "decimal(3,2)").alias("avg_review_score"),
         (rows() > 1).alias("is_repeat_customer"),
     )
     return shaped(grouped, "marts.customer_performance")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelhouse.functions.columns import GRAND_TOTAL, ratio, rows
+from parcelhouse.functions.columns import GRAND_TOTAL, quotient, ratio, rows
 from parcelhouse.functions.labels import NEVER_COMPLETED, RECONCILED, shown_category
 
 
@@ -19,8 +19,7 @@ def _judged() -> Column:
 
 
 def _mean(total: Column, count: Column, places: int = 2) -> Column:
-    kind = f"decimal(18,{places})"
-    return F.round(total / F.nullif(count, F.lit(0)), places).cast(kind)
+    return quotient(total, F.nullif(count, F.lit(0)), places, f"decimal(18,{places})")
 
 
 def figures(df: DataFrame, values: dict[str, Column]) -> DataFrame:

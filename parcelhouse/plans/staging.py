@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.functions.columns import exact_mean, hours_between
+from parcelhouse.functions.columns import hours_between, quotient
 from parcelhouse.functions.labels import score_category, translation_status
 from parcelhouse.operators.grouping import most_common, with_counts
 from parcelhouse.tables import shaped
@@ -52,8 +52,8 @@ def geolocation(points: DataFrame) -> DataFrame:
     is_city, is_state = F.col("kind") == "city", F.col("kind") == "state"
     points_here = F.sum(F.when(is_city, F.col("n")))
     grouped = counted.groupBy(ZIP).agg(
-        exact_mean(F.sum("lat"), points_here, 7, "decimal(10,7)").alias("avg_latitude"),
-        exact_mean(F.sum("lng"), points_here, 7, "decimal(10,7)").alias("avg_longitude"),
+        quotient(F.sum("lat"), points_here, 7, "decimal(10,7)", scale=7).alias("avg_latitude"),
+        quotient(F.sum("lng"), points_here, 7, "decimal(10,7)", scale=7).alias("avg_longitude"),
         most_common(F.col("value"), F.col("n"), is_city).alias("representative_city"),
         most_common(F.col("value"), F.col("n"), is_state).alias("representative_state"),
     )
