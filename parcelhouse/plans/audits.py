@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelhouse.operators.keys import key_problems, orphans
@@ -121,25 +121,31 @@ def compare_counts(actual: DataFrame, expected: dict[str, int]) -> DataFrame:
     )
 
 
-def enforce(tables: Tables, names: list[str], at_once: int = 8) -> None:
+def domain_measures(name: str) -> dict[str, Column]:
+    """The domain rules of a table as aggregates, to be taken while it is written."""
+    return {f"{name}.{column} {rule}": F.count_if(failing) for column, rule, failing in _rules(name)}
+
+
+def enforce(
+    tables: Tables, names: list[str], outside: dict[str, int], at_once: int = 8
+) -> None:
     """Raise IntegrityError if any of the tables breaks a declared rule.
 
-    Tables are audited side by side as small jobs of their own; only broken rules reach the
-    driver.
+    `outside` holds what the domain rules counted. Keys and foreign keys are audited side
+    by side as small jobs of their own; only broken ones reach the driver.
     """
-    def broken_rules(name: str) -> list[str]:
-        found = [
-            f"{name} ({r['key']})" for r in
-            primary_keys(tables, [name]).where("null_keys + duplicate_keys > 0").collect()
-        ]
-        outside = domains(tables, [name]).where("failing_rows > 0").collect()
-        found += [f"{name}.{r['column']} {r['rule']}" for r in outside]
-        if TABLES[name].parents:
-            lost = foreign_keys(tables, [name]).where("orphan_keys > 0").collect()
-            found += [f"{name} ({r['columns']}) -> {r['parent']}" for r in lost]
-        return found
+    def bad_keys(name: str) -> list[str]:
+        found = primary_keys(tables, [name]).where("null_keys + duplicate_keys > 0").collect()
+        return [f"{name} ({r['key']})" for r in found]
+
+    def bad_parents(name: str) -> list[str]:
+        found = foreign_keys(tables, [name]).where("orphan_keys > 0").collect()
+        return [f"{name} ({r['columns']}) -> {r['parent']}" for r in found]
 
     with ThreadPoolExecutor(at_once) as pool:
-        broken = [rule for rules in pool.map(broken_rules, names) for rule in rules]
+        jobs = [pool.submit(bad_keys, name) for name in names]
+        jobs += [pool.submit(bad_parents, name) for name in names if TABLES[name].parents]
+        broken = [rule for job in jobs for rule in job.result()]
+    broken += [rule for rule, failing in outside.items() if failing]
     if broken:
         raise IntegrityError("; ".join(broken))

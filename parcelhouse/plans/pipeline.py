@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,70 +34,77 @@ class Build:
     def table(self, name: str) -> DataFrame:
         return self.store.read(name)
 
-    def publish(self, frames: Mapping[str, DataFrame]) -> int:
+    def publish(self, frames: Mapping[str, Callable[[], DataFrame]]) -> int:
         """Write tables side by side, hold them to their declared rules, make them current."""
-        written = self.store.write_all(dict(frames))
-        drafts = {name: path for name, (path, _) in written.items()}
+        rules = audits.domain_measures if self.constraints else None
+        drafts = self.store.write_all(frames, rules)
+        paths = {name: draft.path for name, draft in drafts.items()}
         if self.constraints:
-            audits.enforce(lambda name: self.store.read(name, drafts), list(drafts))
-        self.store.publish(drafts)
-        self.counts.update({name: rows for name, (_, rows) in written.items()})
-        return sum(rows for _, rows in written.values())
+            outside = {k: v for draft in drafts.values() for k, v in draft.measures.items()}
+            audits.enforce(lambda name: self.store.read(name, paths), list(paths), outside)
+        self.store.publish(paths)
+        self.counts.update({name: draft.rows for name, draft in drafts.items()})
+        return sum(draft.rows for draft in drafts.values())
 
-    def merge(self, frames: Mapping[str, DataFrame]) -> None:
+    def merge(self, frames: Mapping[str, Callable[[], DataFrame]]) -> None:
         """Upsert into the current versions by declared key."""
-        self.publish({
-            name: upsert(
-                self.table(name) if self.store.has(name) else None,
-                incoming, list(TABLES[name].key),
-            )
-            for name, incoming in frames.items()
-        })
+
+        def merged(name: str, incoming: Callable[[], DataFrame]) -> DataFrame:
+            existing = self.table(name) if self.store.has(name) else None
+            return upsert(existing, incoming(), list(TABLES[name].key))
+
+        self.publish({name: partial(merged, name, new) for name, new in frames.items()})
 
 
 def load_raw(build: Build, raw: Mapping[str, DataFrame]) -> None:
+    """All raw tables become current together."""
     names = [t.name for t in in_layer("raw")]
-    build.rows_loaded += build.publish({n: raw[n.split(".")[1]] for n in names})
+    build.rows_loaded += build.publish({n: partial(raw.__getitem__, n.split(".")[1]) for n in names})
+
+
+def _layer(build: Build, layer: str) -> dict[str, DataFrame]:
+    return {t.name.split(".")[1]: build.table(t.name) for t in in_layer(layer)}
 
 
 def build_staging(build: Build) -> None:
     """All staging tables become current together."""
-    raw = {t.name.split(".")[1]: build.table(t.name) for t in in_layer("raw")}
+    raw = _layer(build, "raw")
     products = staging.products(raw["products"], raw["category_translation"])
     sellers = staging.sellers(raw["sellers"])
     build.publish({
-        "staging.customers": staging.customers(raw["customers"]),
-        "staging.sellers": sellers,
-        "staging.geolocation": staging.geolocation(raw["geolocation"]),
-        "staging.products": products,
-        "staging.orders": staging.orders(raw["orders"]),
-        "staging.order_items": staging.order_items(raw["order_items"], products, sellers),
-        "staging.order_payments": staging.order_payments(raw["order_payments"]),
-        "staging.order_reviews": staging.order_reviews(raw["order_reviews"]),
+        "staging.customers": lambda: staging.customers(raw["customers"]),
+        "staging.sellers": lambda: sellers,
+        "staging.geolocation": lambda: staging.geolocation(raw["geolocation"]),
+        "staging.products": lambda: products,
+        "staging.orders": lambda: staging.orders(raw["orders"]),
+        "staging.order_items": lambda: staging.order_items(
+            raw["order_items"], products, sellers),
+        "staging.order_payments": lambda: staging.order_payments(raw["order_payments"]),
+        "staging.order_reviews": lambda: staging.order_reviews(raw["order_reviews"]),
     })
 
 
 def build_dimensions(build: Build) -> None:
-    staged = {t.name.split(".")[1]: build.table(t.name) for t in in_layer("staging")}
+    s = _layer(build, "staging")
     build.merge({
-        "analytics.dim_date": dimensions.date(staged["orders"], staged["order_reviews"]),
-        "analytics.dim_geography": dimensions.geography(staged["geolocation"]),
-        "analytics.dim_customer": dimensions.customer(staged["customers"], staged["geolocation"]),
-        "analytics.dim_seller": dimensions.seller(staged["sellers"], staged["geolocation"]),
-        "analytics.dim_product": dimensions.product(staged["products"]),
+        "analytics.dim_date": lambda: dimensions.date(s["orders"], s["order_reviews"]),
+        "analytics.dim_geography": lambda: dimensions.geography(s["geolocation"]),
+        "analytics.dim_customer": lambda: dimensions.customer(s["customers"], s["geolocation"]),
+        "analytics.dim_seller": lambda: dimensions.seller(s["sellers"], s["geolocation"]),
+        "analytics.dim_product": lambda: dimensions.product(s["products"]),
     })
 
 
 def build_facts(build: Build) -> None:
-    staged = {t.name.split(".")[1]: build.table(t.name) for t in in_layer("staging")}
+    s = _layer(build, "staging")
     build.merge({
-        "analytics.fact_orders": facts.orders(staged["orders"]),
-        "analytics.fact_order_items": facts.order_items(staged["order_items"], staged["orders"]),
-        "analytics.fact_payments": facts.payments(staged["order_payments"]),
-        "analytics.fact_reviews": facts.reviews(staged["order_reviews"]),
+        "analytics.fact_orders": lambda: facts.orders(s["orders"]),
+        "analytics.fact_order_items": lambda: facts.order_items(s["order_items"], s["orders"]),
+        "analytics.fact_payments": lambda: facts.payments(s["order_payments"]),
+        "analytics.fact_reviews": lambda: facts.reviews(s["order_reviews"]),
     })
     build.publish({
-        "analytics.order_summary": facts.order_summary(
+        "analytics.order_summary": lambda: facts.order_summary(
             build.table("analytics.fact_orders"),
             build.table("analytics.fact_order_items"),
             build.table("analytics.fact_payments"),
@@ -105,15 +113,15 @@ def build_facts(build: Build) -> None:
 
 
 def build_marts(build: Build) -> None:
-    a = {t.name.split(".")[1]: build.table(t.name) for t in in_layer("analytics")}
+    a = _layer(build, "analytics")
     build.publish({
-        "marts.delivery_performance": marts.delivery_performance(
+        "marts.delivery_performance": lambda: marts.delivery_performance(
             a["fact_orders"], a["dim_customer"]),
-        "marts.category_performance": marts.category_performance(
+        "marts.category_performance": lambda: marts.category_performance(
             a["fact_order_items"], a["dim_product"]),
-        "marts.customer_performance": marts.customer_performance(
+        "marts.customer_performance": lambda: marts.customer_performance(
             a["order_summary"], a["dim_customer"], a["dim_date"], a["fact_reviews"]),
-        "marts.payment_analysis": marts.payment_analysis(
+        "marts.payment_analysis": lambda: marts.payment_analysis(
             a["order_summary"], a["dim_customer"], a["fact_payments"]),
     })
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from parcelhouse.tables import TABLES, shaped
 
-# The texts pandas reads as missing by default.
+# The texts pandas reads as missing by default, and the NULL mark of bulk loads.
 MISSING = (
+    "\\N",
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
@@ -132,11 +133,17 @@ def long_records(spark: SparkSession, path: str) -> DataFrame:
         numbered.groupBy("file", "record")
         .agg(F.array_join(F.transform(texts, lambda t: t["value"]), "\n").alias("text"))
         .withColumn("text", F.regexp_replace("text", "\r$", ""))
-        .where("record > 1 AND text <> ''")  # the first record is the header
+        .where("text <> ''")
     )
     schema = ", ".join(f"`{c}` string" for c in columns)
     options = {"mode": "FAILFAST", "multiLine": "true", **QUOTING}
-    return records.select(F.from_csv("text", schema, options).alias("r")).select("r.*")
+    parsed = records.select("file", "record", F.from_csv("text", schema, options).alias("r"))
+    # The first record of each file is its header, which must be that of the first file.
+    found = F.concat_ws(",", *[F.col("r").getField(c) for c in columns])
+    same = F.regexp_replace(found, "^\ufeff", "") == ",".join(columns)
+    message = F.concat(F.lit("other columns than in the first file: "), "file")
+    is_header = F.when(F.col("record") > 1, False).when(same, True).otherwise(F.raise_error(message))
+    return parsed.where(~is_header).select("r.*")
 
 
 def _value(name: str, kind: str) -> Column:

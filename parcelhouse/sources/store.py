@@ -8,11 +8,13 @@ and no job overwrites what it reads. One writer at a time.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from parcelhouse.tables import TABLES
@@ -31,6 +33,15 @@ def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+@dataclass(frozen=True)
+class Draft:
+    """A written table version that is not current yet, and what was counted on the way."""
+
+    path: str
+    rows: int
+    measures: dict[str, int]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -55,18 +66,30 @@ class Store:
         path = (drafts or {}).get(name) or self.current[name]
         return self.spark.read.schema(TABLES[name].schema).parquet(path)
 
-    def write(self, name: str, df: DataFrame) -> tuple[str, int]:
-        """Write a draft version; return its path and row count, counted while writing."""
+    def write(
+        self, name: str, df: DataFrame, measures: dict[str, Column] | None = None
+    ) -> Draft:
+        """Write a draft version. Rows and any further aggregates are taken while writing."""
         path = f"{self.root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
-        counted = Observation()
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        return path, counted.get["rows"]
+        wanted = [value.alias(f"m{i}") for i, value in enumerate((measures or {}).values())]
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *wanted).write.parquet(path)
+        values = {label: seen.get[f"m{i}"] for i, label in enumerate(measures or {})}
+        return Draft(path, seen.get["rows"], values)
+
+    def write_all(
+        self,
+        frames: Mapping[str, Callable[[], DataFrame]],
+        measures: Callable[[str], dict[str, Column]] | None = None,
+        at_once: int = 8,
+    ) -> dict[str, Draft]:
+        """Plan and write drafts side by side: small tables do not fill a cluster alone."""
+
+        def write(name: str) -> Draft:
+            return self.write(name, frames[name](), measures(name) if measures else None)
 
-    def write_all(self, frames: dict[str, DataFrame], at_once: int = 8) -> dict[str, tuple[str, int]]:
-        """Write drafts side by side: small tables do not fill a cluster on their own."""
         with ThreadPoolExecutor(at_once) as pool:
-            jobs = {name: pool.submit(self.write, name, df) for name, df in frames.items()}
-            return {name: job.result() for name, job in jobs.items()}
+            return dict(zip(frames, pool.map(write, frames)))
 
     def publish(self, drafts: dict[str, str]) -> None:
         """Make drafts current, all of them or none: the record is a single file."""

@@ -57,10 +57,19 @@ def test_row_counts_against_expectation(frame):
 
 def test_enforce(frame):
     good = {"seller_id": "s", "seller_zip_code_prefix": 1, "seller_city": "x", "seller_state": "SP"}
-    audits.enforce(only(frame, sellers=[good]), ["raw.sellers"])
-    with pytest.raises(audits.IntegrityError, match=r"raw.sellers \(seller_id\).*seller_state length <= 2"):
-        audits.enforce(only(frame, sellers=[good, {**good, "seller_state": "SPX"}]), ["raw.sellers"])
+    audits.enforce(only(frame, sellers=[good]), ["raw.sellers"], {"a rule": 0})
+    with pytest.raises(audits.IntegrityError, match=r"raw.sellers \(seller_id\); a rule"):
+        audits.enforce(only(frame, sellers=[good, good]), ["raw.sellers"], {"a rule": 1})
     with pytest.raises(audits.IntegrityError, match=r"raw.order_payments \(order_id\) -> raw.orders"):
         audits.enforce(only(frame, order_payments=[{
             "order_id": "o", "payment_sequential": 1, "payment_type": "x", "payment_installments": 1,
-            "payment_value": 1}]), ["raw.order_payments"])
+            "payment_value": 1}]), ["raw.order_payments"], {})
+
+
+def test_domain_measures_equal_the_audit(frame):
+    reviews = [{"review_id": "r" * 51, "order_id": "o", "review_score": 6}, {"review_id": "r"}]
+    df = frame("raw.order_reviews", *reviews)
+    measures = audits.domain_measures("raw.order_reviews")
+    taken = df.agg(*measures.values()).first()
+    audited = audits.domains(lambda _: df, ["raw.order_reviews"]).collect()
+    assert list(taken) == [r["failing_rows"] for r in audited]

@@ -78,6 +78,18 @@ def test_several_files_each_with_header(spark, tmp_path):
     assert rows(long_records(spark, str(tmp_path))) == {("1", "a\nb"), ("2", "c"), ("3", "d")}
 
 
+def test_files_with_other_columns_are_an_error(spark, tmp_path):
+    write(tmp_path, "part-1.csv", "id,text\n1,a\n")
+    write(tmp_path, "part-2.csv", "text,id\nb,2\n")
+    with pytest.raises(Exception, match="other columns than in the first file"):
+        long_records(spark, str(tmp_path)).collect()
+
+
+def test_byte_order_mark_of_long_records(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'id,text\n1,"a\nb"\n', "utf-8-sig")
+    assert rows(long_records(spark, path)) == {("1", "a\nb")}
+
+
 def test_byte_order_mark(spark, tmp_path):
     path = write(tmp_path, "t.csv", "product_category_name,product_category_name_english\n"
                  "beleza_saude,health_beauty\n", "utf-8-sig")
@@ -88,7 +100,7 @@ def test_byte_order_mark(spark, tmp_path):
 
 def test_integers_with_decimals_and_missing_values(spark, tmp_path):
     path = write(tmp_path, "p.csv", PRODUCT_HEADER + "p1,perfumaria,40.0,287.0,1.0,225,16,10,14\n"
-                 "p2,,,,,,,,\np3,NaN,NA,null,N/A,1.5,2,3,4\n")
+                 "p2,,,,,,,,\np3,NaN,NA,null,\\N,1.5,2,3,4\n")
     df = raw_table(spark, "products", path)
     got = {r["product_id"]: r for r in df.collect()}
     assert got["p1"]["product_name_length"] == 40

@@ -23,9 +23,9 @@ def root(spark):
 
 
 def put(store, name, df):
-    path, count = store.write(name, df)
-    store.publish({name: path})
-    return count
+    draft = store.write(name, df)
+    store.publish({name: draft.path})
+    return draft.rows
 
 
 def test_write_counts_rows_and_publishes(spark, frame, root):
@@ -39,23 +39,29 @@ def test_write_counts_rows_and_publishes(spark, frame, root):
 def test_draft_is_not_visible_before_publishing(spark, frame, root):
     store = Store(spark, root)
     put(store, "raw.sellers", frame("raw.sellers", SELLER))
-    path, _ = store.write("raw.sellers", frame("raw.sellers"))
+    path = store.write("raw.sellers", frame("raw.sellers")).path
     assert Store(spark, root).read("raw.sellers").count() == 1
     assert store.read("raw.sellers", {"raw.sellers": path}).count() == 0
 
 
 def test_broken_table_is_not_published(spark, frame, root):
     build = pipeline.Build(Store(spark, root))
-    build.publish({"raw.sellers": frame("raw.sellers", SELLER)})
-    with pytest.raises(pipeline.audits.IntegrityError):
-        build.publish({"raw.sellers": frame("raw.sellers", SELLER, SELLER)})
+    build.publish({"raw.sellers": lambda: frame("raw.sellers", SELLER)})
+    for extra, message in (
+        (SELLER, r"raw.sellers \(seller_id\)"),
+        ({**SELLER, "seller_id": "t", "seller_state": "SPX"}, "seller_state length <= 2"),
+        ({**SELLER, "seller_id": "t", "seller_city": None}, "seller_city not null"),
+    ):
+        with pytest.raises(pipeline.audits.IntegrityError, match=message):
+            build.publish({"raw.sellers": lambda: frame("raw.sellers", SELLER, extra)})
     assert Store(spark, root).read("raw.sellers").count() == 1
 
 
 def test_merge_keeps_rows_that_do_not_come_again(spark, frame, root):
     build = pipeline.Build(Store(spark, root), constraints=False)
-    build.merge({"analytics.dim_seller": frame("analytics.dim_seller", SELLER, {**SELLER, "seller_id": "t"})})
-    build.merge({"analytics.dim_seller": frame("analytics.dim_seller", {**SELLER, "seller_city": "y"})})
+    name, other = "analytics.dim_seller", {**SELLER, "seller_id": "t"}
+    build.merge({name: lambda: frame(name, SELLER, other)})
+    build.merge({name: lambda: frame(name, {**SELLER, "seller_city": "y"})})
     assert rows(build.table("analytics.dim_seller"), "seller_id", "seller_city") == {("s", "y"), ("t", "x")}
 
 
