@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_HOUR = 3_600_000_000
-
 # One amount on one row, and a total over any number of rows. Totals are wide enough that
 # a single key holding a third of a very large table cannot overflow.
 AMOUNT = "decimal(12,2)"
@@ -15,9 +13,13 @@ GRAND_TOTAL = "decimal(28,2)"
 
 
 def hours_between(start: str, end: str) -> Column:
-    """Hours from start to end, two decimals, half away from zero; NULL if either is NULL."""
-    micros = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
-    return F.round(micros.cast("decimal(20,0)") / F.lit(MICROS_PER_HOUR), 2).cast("decimal(10,2)")
+    """Hours from start to end, two decimals, half away from zero; NULL if either is NULL.
+
+    The moments have no zone. Their difference is taken as an interval, which no session
+    time zone can bend; timestamp_diff would go through the zone and its clock changes.
+    """
+    elapsed = (F.col(end) - F.col(start)).cast("interval second").cast("decimal(20,6)")
+    return F.round(elapsed / F.lit(3600), 2).cast("decimal(10,2)")
 
 
 def day_key(moment: str) -> Column:

@@ -70,7 +70,7 @@ def load_csv_bad_values(spark: SparkSession, folder: str) -> DataFrame:
     orders = RawTables(tuned(spark), folder)["orders"]
     unreadable = F.when(F.col("order_status") == "shipped", "soon").when(
         F.col("order_status") == "created", "N/A")
-    as_text = F.date_format("order_approved_at", "yyyy-MM-dd HH:mm:ss")
+    as_text = F.col("order_approved_at").cast("string")
     spoilt = orders.withColumn("order_approved_at", F.coalesce(unreadable, as_text))
     files = write_csv({"orders": spoilt}, scratch_dir(spark, "csv"), ["orders"])
     return CsvTables(spark, files)["orders"]

@@ -77,6 +77,18 @@ def test_order_durations_round_half_away_from_zero(frame, approved, hours):
     assert rows(df, "approval_delay_hours") == {(Decimal(hours),)}
 
 
+def test_clock_changes_of_the_session_zone_do_not_matter(spark, frame):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        moments = {"order_purchase_timestamp": "2017-10-15 00:30:00",   # skipped by the clock there
+                   "order_approved_at": "2017-10-15 01:30:00"}
+        df = staging.orders(frame("raw.orders", order(**moments)))
+        assert rows(df, "approval_delay_hours") == {(Decimal("1.00"),)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_order_durations(frame):
     df = staging.orders(frame("raw.orders", order(
         order_approved_at="2018-01-01 02:00:00", order_delivered_carrier_date="2018-01-01 01:00:00",
