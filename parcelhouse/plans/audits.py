@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -55,44 +55,45 @@ def foreign_keys(tables: Tables, names: Iterable[str]) -> DataFrame:
     return _all(audited)
 
 
-def _rules(name: str):
-    """(column, rule, condition of a failing row) for every rule of a table."""
+def _rules(name: str) -> Iterator[tuple[str, str]]:
+    """(label, condition of a failing row) for every rule of a table."""
     table = TABLES[name]
     for c in table.columns:
         if c.required:
-            yield c.name, "not null", F.col(c.name).isNull()
+            yield f"{c.name}: not null", f"{c.name} IS NULL"
         if c.length:
-            yield c.name, f"length <= {c.length}", F.length(c.name) > c.length
+            yield f"{c.name}: length <= {c.length}", f"length({c.name}) > {c.length}"
     yield from _value_rules(name)
 
 
-def _value_rules(name: str):
+def _value_rules(name: str) -> Iterator[tuple[str, str]]:
     """Only the rules on values. A NULL passes them."""
     table = TABLES[name]
     for column, (low, high) in table.between.items():
-        yield column, f"between {low} and {high}", ~F.col(column).between(low, high)
+        yield f"{column}: between {low} and {high}", f"{column} NOT BETWEEN {low} AND {high}"
     for column, values in table.allowed.items():
-        yield column, f"in ({', '.join(values)})", ~F.col(column).isin(*values)
+        listed = ", ".join(f"'{v}'" for v in values)
+        yield f"{column}: in ({', '.join(values)})", f"{column} NOT IN ({listed})"
 
 
 def _violations(tables: Tables, names: Iterable[str], rules) -> DataFrame:
     """One aggregate per table, one output row per rule."""
     audited = []
     for name in names:
-        found = list(rules(name))
+        found = dict(rules(name))
         if not found:
             continue
         counts = tables(name).agg(
-            *[F.count_if(failing).alias(f"r{i}") for i, (_, _, failing) in enumerate(found)]
+            *[F.expr(f"count_if({failing}) AS `{label}`") for label, failing in found.items()]
         )
-        audited.append(counts.select(F.inline(F.array(*[
-            F.struct(
-                F.lit(name).alias("table"), F.lit(column).alias("column"),
-                F.lit(rule).alias("rule"), F.col(f"r{i}").alias("failing_rows"),
-            )
-            for i, (column, rule, _) in enumerate(found)
-        ]))))
-    return _all(audited)
+        audited.append(
+            counts.unpivot([], [f"`{label}`" for label in found], "label", "failing_rows")
+            .withColumn("table", F.lit(name))
+        )
+    return _all(audited).selectExpr(
+        "table", "split_part(label, ': ', 1) AS column", "split_part(label, ': ', 2) AS rule",
+        "failing_rows",
+    )
 
 
 def domains(tables: Tables, names: Iterable[str]) -> DataFrame:
@@ -123,7 +124,9 @@ def compare_counts(actual: DataFrame, expected: dict[str, int]) -> DataFrame:
 
 def domain_measures(name: str) -> dict[str, Column]:
     """The domain rules of a table as aggregates, to be taken while it is written."""
-    return {f"{name}.{column} {rule}": F.count_if(failing) for column, rule, failing in _rules(name)}
+    return {
+        f"{name}.{label}": F.expr(f"count_if({failing})") for label, failing in _rules(name)
+    }
 
 
 def enforce(

@@ -28,7 +28,10 @@ class QualityCheckFailed(Exception):
 
 @dataclass(frozen=True)
 class Check:
-    """`formula` refers to its measures as {0}, {1}...; each is (table, aggregate)."""
+    """`formula` refers to its measures as {0}, {1}...; each is (table, aggregate).
+
+    The name starts with the stage.
+    """
 
     name: str
     stage: str
@@ -171,46 +174,41 @@ def report(tables: Tables, *stages: str) -> DataFrame:
     A measure without a value (a sum over no rows) gives failing_rows NULL and FAIL.
     """
     checks = [c for c in CHECKS if c.stage in stages]
-    wanted: dict[str, list[str]] = {}
+    labels: dict[tuple[str, str], str] = {}
     for check in checks:
-        for table, aggregate in check.measures:
-            if aggregate not in wanted.setdefault(table, []):
-                wanted[table].append(aggregate)
+        for measure in check.measures:
+            labels.setdefault(measure, f"m{len(labels)}")
 
     measured = []
-    for table, aggregates in wanted.items():
+    for table in dict.fromkeys(table for table, _ in labels):
         source = DERIVED[table](tables) if table in DERIVED else tables(table)
-        named = [(f"{table}: {a}", f"m{i}", a) for i, a in enumerate(aggregates)]
-        one_row = source.agg(*[F.expr(a).cast(MEASURE).alias(short) for _, short, a in named])
-        measured.append(one_row.select(F.inline(F.array(*[
-            F.struct(F.lit(name).alias("measure"), F.col(short).alias("value"))
-            for name, short, _ in named
-        ]))))
-
-    names = [f"{t}: {a}" for t, aggregates in wanted.items() for a in aggregates]
-    columns = {name: f"v{i}" for i, name in enumerate(names)}
+        mine = {label: a for (t, a), label in labels.items() if t == table}
+        one_row = source.agg(*[F.expr(f"CAST({a} AS {MEASURE}) AS {m}") for m, a in mine.items()])
+        measured.append(one_row.unpivot([], list(mine), "measure", "value"))
+
     together = reduce(DataFrame.unionByName, measured).agg(*[
-        F.max(F.when(F.col("measure") == name, F.col("value"))).alias(short)
-        for name, short in columns.items()
+        F.expr(f"max(CASE WHEN measure = '{m}' THEN value END) AS {m}") for m in labels.values()
     ])
 
-    def failing(check: Check):
-        used = [columns[f"{t}: {a}"] for t, a in check.measures]
-        return F.expr(check.formula.format(*used)).cast("bigint")
-
-    results = together.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(c.name).alias("check"), F.lit(c.stage).alias("stage"),
-            F.lit(c.level).alias("level"), failing(c).alias("failing_rows"),
-        )
-        for c in checks
-    ])))
+    def failing(check: Check) -> str:
+        return check.formula.format(*[labels[m] for m in check.measures])
+
+    results = together.selectExpr(
+        *[f"CAST({failing(c)} AS BIGINT) AS {c.name}" for c in checks]
+    ).unpivot([], [c.name for c in checks], "check", "failing_rows")
+
+    is_critical = F.col("check").isin([c.name for c in checks if c.level == "critical"])
     status = (
         F.when(F.col("failing_rows") == 0, "pass")
         .when(F.col("failing_rows").isNull() | (F.col("level") == "critical"), "FAIL")
         .otherwise("warn")
     )
-    return results.withColumn("status", status)
+    return (
+        results.withColumn("stage", F.substring_index("check", "_", 1))
+        .withColumn("level", F.when(is_critical, "critical").otherwise("warning"))
+        .withColumn("status", status)
+        .select("check", "stage", "level", "failing_rows", "status")
+    )
 
 
 def warnings_per_stage(checked: DataFrame) -> DataFrame:

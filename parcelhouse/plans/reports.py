@@ -24,11 +24,8 @@ def _mean(total: Column, count: Column, places: int = 2) -> Column:
 
 def figures(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     """Several aggregates of one table as rows (figure, value)."""
-    one_row = df.agg(*[v.cast(GRAND_TOTAL).alias(f"f{i}") for i, v in enumerate(values.values())])
-    return one_row.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("figure"), F.col(f"f{i}").alias("value"))
-        for i, name in enumerate(values)
-    ])))
+    one_row = df.agg(*[v.cast(GRAND_TOTAL).alias(name) for name, v in values.items()])
+    return one_row.unpivot([], [f"`{name}`" for name in values], "figure", "value")
 
 
 # Delivery

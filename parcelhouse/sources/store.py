@@ -16,6 +16,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelhouse.tables import TABLES
 
@@ -27,6 +28,16 @@ RUN_EVENT = (
 )
 
 
+def _frame(spark: SparkSession, schema: str, *records: tuple) -> DataFrame:
+    """A few literal rows, without a detour through Python workers."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, record)])
+        for record in records
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A small append-only log, created empty when it is not there yet."""
     spark.createDataFrame([], schema).write.mode("ignore").json(path)
@@ -95,7 +106,7 @@ class Store:
         """Make drafts current, all of them or none: the record is a single file."""
         self._sequence += 1
         records = [(name, path, self._sequence) for name, path in drafts.items()]
-        log = self.spark.createDataFrame(records, PUBLISHED)
+        log = _frame(self.spark, PUBLISHED, *records)
         log.coalesce(1).write.mode("append").json(self._log)
         self.current.update(drafts)
 
@@ -130,5 +141,5 @@ class RunLog:
                 seconds=None, rows_loaded=None, warnings=None, *, event):
         record = (run_id, started, finished, status, failed_step, error, seconds,
                   rows_loaded, warnings, event)
-        frame = self.spark.createDataFrame([record], RUN_EVENT)
+        frame = _frame(self.spark, RUN_EVENT, record)
         frame.coalesce(1).write.mode("append").json(self.path)

@@ -49,8 +49,8 @@ def test_broken_table_is_not_published(spark, frame, root):
     build.publish({"raw.sellers": lambda: frame("raw.sellers", SELLER)})
     for extra, message in (
         (SELLER, r"raw.sellers \(seller_id\)"),
-        ({**SELLER, "seller_id": "t", "seller_state": "SPX"}, "seller_state length <= 2"),
-        ({**SELLER, "seller_id": "t", "seller_city": None}, "seller_city not null"),
+        ({**SELLER, "seller_id": "t", "seller_state": "SPX"}, "seller_state: length <= 2"),
+        ({**SELLER, "seller_id": "t", "seller_city": None}, "seller_city: not null"),
     ):
         with pytest.raises(pipeline.audits.IntegrityError, match=message):
             build.publish({"raw.sellers": lambda: frame("raw.sellers", SELLER, extra)})

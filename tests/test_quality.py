@@ -24,6 +24,7 @@ def test_names_are_unique():
 @pytest.mark.parametrize("check", quality.CHECKS, ids=NAMES)
 def test_check_is_well_formed(check):
     assert check.stage in quality.STAGES
+    assert check.name.startswith(f"{check.stage}_")
     assert check.level in ("critical", "warning")
     assert check.about and check.measures
     assert all(t in TABLES or t in quality.DERIVED for t, _ in check.measures)
