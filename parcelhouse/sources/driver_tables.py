@@ -108,20 +108,21 @@ def order_items(source: RawTables) -> DataFrame:
 
 def order_payments(source: RawTables) -> DataFrame:
     line_value = F.col("l_extendedprice").cast(AMOUNT) + F.col("l_quantity").cast(AMOUNT)
+    # Joined on the final key, so that later work by order finds the rows in place.
     totals = (
         source.read("lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .groupBy(F.concat(F.lit("o"), "l_orderkey").alias("order_id"))
         .agg(F.sum(line_value).cast(TOTAL).alias("item_total"))
     )
     parts = (
         source.read("orders")
         .where(F.expr("o_orderkey % 500 <> 11"))
-        .select("o_orderkey", "o_totalprice")
-        .join(totals, "o_orderkey", "left")
+        .select(F.concat(F.lit("o"), "o_orderkey").alias("order_id"), "o_orderkey", "o_totalprice")
+        .join(totals, "order_id", "left")
         .withColumn("seq", F.explode(F.expr("sequence(1, CAST(1 + o_orderkey % 3 AS INT))")))
     )
     return parts.select(
-        F.concat(F.lit("o"), "o_orderkey").alias("order_id"),
+        "order_id",
         F.col("seq").alias("payment_sequential"),
         F.expr("""
             CASE WHEN seq > 1 THEN 'voucher' WHEN o_orderkey % 500 = 13 THEN 'not_defined'
