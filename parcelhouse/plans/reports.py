@@ -261,7 +261,7 @@ def fan_out(fact_items: DataFrame, fact_payments: DataFrame) -> DataFrame:
     order's item value times its payments: no pair of rows is ever formed.
     """
     items = fact_items.groupBy("order_id").agg(F.sum("item_total_value").alias("value"))
-    paid = fact_payments.groupBy("order_id").agg(rows().cast("decimal(10,0)").alias("payments"))
+    paid = fact_payments.groupBy("order_id").agg(rows().cast("decimal(14,0)").alias("payments"))
     both = items.join(paid, "order_id", "left")
     joined = F.sum(F.col("value") * F.coalesce("payments", F.lit(0)))
     return both.agg(
@@ -280,7 +280,8 @@ def warnings(checked: DataFrame) -> DataFrame:
 
 
 PUBLISHED = (
-    "raw.geolocation", "staging.geolocation", "analytics.dim_product", "analytics.dim_date", "analytics.dim_customer",
-    "analytics.dim_geography", "analytics.dim_seller", "analytics.fact_orders",
+    "raw.geolocation", "staging.geolocation", "analytics.dim_product", "analytics.dim_date",
+    "analytics.dim_customer", "analytics.dim_geography", "analytics.dim_seller",
+    "analytics.fact_orders",
     "analytics.fact_order_items", "analytics.fact_payments", "analytics.fact_reviews",
 )

@@ -1,9 +1,6 @@
 """Checks: well formed, and each one counts what it should."""
 
-from decimal import Decimal
-
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from parcelhouse.plans import quality
