@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.common import ascii_lower, id_and_text, table, written
@@ -42,6 +42,14 @@ def may_hold(bits: bytes, keys: np.ndarray) -> np.ndarray:
     return (np.frombuffer(bits, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
+def passes(bits: bytes, key: Column) -> Column:
+    """The same as may_hold, as a column expression."""
+    place = F.pmod(key, F.lit(FILTER_BITS))
+    byte = F.substring(F.lit(bits), F.shiftright(place, 3).cast("int") + 1, F.lit(1))
+    return F.getbit(
+        F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(place, F.lit(8)).cast("int")) == 1
+
+
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64,
     digest_all: bool = False,

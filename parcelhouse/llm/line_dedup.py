@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.common import table
-from parcelhouse.llm.exact_dedup import FILTER_BITS, key_filter
+from parcelhouse.llm.exact_dedup import key_filter, passes
 
 WINDOW = 2
 DIVISOR = 2
@@ -46,14 +46,6 @@ def with_chunks(df: DataFrame, text_col: str, window: int, divisor: int) -> Data
     return lines.withColumn("_ends", ends).withColumn("_spans", spans).drop("_ends", "_hashes")
 
 
-def _passes(bits: bytes, key: Column) -> Column:
-    """Whether the fixed-size filter lets a 64-bit key pass."""
-    place = F.pmod(key, F.lit(FILTER_BITS))
-    byte = F.substring(F.lit(bits), F.shiftright(place, 3).cast("int") + 1, F.lit(1))
-    return F.getbit(
-        F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(place, F.lit(8)).cast("int")) == 1
-
-
 def repeated_chunks(rows: DataFrame, window: int, divisor: int, least_lines: int = 2) -> DataFrame:
     """id, key (hash of the text) and number of the chunks to remove.
 
@@ -74,7 +66,7 @@ def repeated_chunks(rows: DataFrame, window: int, divisor: int, least_lines: int
     )
     again = long.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     again = key_filter(again.select(F.col("hash").alias("key")))
-    candidates = long.where(_passes(again, F.col("hash")))
+    candidates = long.where(passes(again, F.col("hash")))
     place = F.struct("id", "key", "number")
     groups = (
         candidates.groupBy("hash", "chunk")
