@@ -4,12 +4,15 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from oracles.queries import expected_sql
+from parcelhouse.queries import QUERIES
 
-QUERIES = contract.queries()
 
 
 def test_every_query_has_expected_sql():
-    assert set(QUERIES) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(expected_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
