@@ -111,7 +111,8 @@ def exact_groups(
         "alone", F.when(F.col("surviving"), F.lit(None)).otherwise(F.xxhash64("id", "prefix")))
     keys = ["n_bytes", "prefix", "digest", "alone"]
     counted = written(hashed.groupBy("id", *keys).agg(F.count(F.lit(1)).alias("copies")))
-    groups = (
+    # Written, so that the join has its own exchanges and Spark can split a hot group there.
+    groups = written(
         counted.where("alone is null").groupBy("n_bytes", "prefix", "digest")
         .agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"))
     )
