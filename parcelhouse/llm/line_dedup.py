@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import table
+from parcelhouse.llm.common import table, written
 from parcelhouse.llm.exact_dedup import key_filter, passes
 
 WINDOW = 2
@@ -68,7 +68,8 @@ def repeated_chunks(rows: DataFrame, window: int, divisor: int, least_lines: int
     again = key_filter(again.select(F.col("hash").alias("key")))
     candidates = long.where(passes(again, F.col("hash")))
     place = F.struct("id", "key", "number")
-    groups = (
+    # Written, so that the join has its own exchanges and Spark can split a hot chunk there.
+    groups = written(
         candidates.groupBy("hash", "chunk")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").drop("n")
