@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.common import id_and_text, table, written
-from parcelhouse.llm.exact_dedup import key_filter, may_hold, passes
+from parcelhouse.llm.exact_dedup import key_filter, may_hold
 
 SEED_WORDS = 4
 SEED_BLOCK = 4
@@ -104,6 +104,17 @@ def gram_hits(docs: DataFrame, bits: bytes, n: int) -> DataFrame:
     return docs.mapInArrow(run, f"id {id_type}, key long, gram long, pos int, first boolean")
 
 
+def _only(rows: DataFrame, bits: bytes) -> DataFrame:
+    """The rows whose key the filter lets pass. The filter stays out of the query plan, which
+    the driver keeps as text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(bits, batch.column("key").to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def align(item: list, passage: list) -> tuple[int, int, int, int]:
     """Smith-Waterman over words: best score, matched words, start and stop in the passage."""
     codes: dict = {}
@@ -190,7 +201,7 @@ def contaminated(
     places = written(near.groupBy("id", "key").agg(F.collect_set("place").alias("places")))
     few = key_filter(places.select("key"))
     wanted = places.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "places")
-    texts = rows.where(passes(few, F.col("key"))).join(
+    texts = _only(rows.select("id", "text", "key"), few).join(
         wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     ).select("id", "key", "text", "places")
     types = {"id": rows.schema["id"].dataType.simpleString(),
