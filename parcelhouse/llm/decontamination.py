@@ -200,9 +200,9 @@ def contaminated(
     # At most one place per word of a document and item that shares a seed there.
     places = written(near.groupBy("id", "key").agg(F.collect_set("place").alias("places")))
     few = key_filter(places.select("key"))
-    wanted = places.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "places")
+    wanted = places.select(F.col("id").alias("__pc_id"), F.col("key").alias("__pc_key"), "places")
     texts = _only(rows.select("id", "text", "key"), few).join(
-        wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+        wanted, F.col("id").eqNullSafe(F.col("__pc_id")) & (F.col("key") == F.col("__pc_key"))
     ).select("id", "key", "text", "places")
     types = {"id": rows.schema["id"].dataType.simpleString(),
              "item": items.schema["item"].dataType.simpleString()}
@@ -242,9 +242,9 @@ def without_contaminated(
 ) -> DataFrame:
     """The documents that hold no benchmark item, all their columns kept."""
     found = contaminated(docs, benchmark, id_col, text_col, **options)
-    found = found.select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    found = found.select(F.col("id").alias("__pc_id"), F.col("key").alias("__pc_key")).distinct()
     key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_anti")
+    return docs.join(found, docs[id_col].eqNullSafe(F.col("__pc_id")) & (key == F.col("__pc_key")), "left_anti")
 
 
 def op3_decontamination(spark, folder: str) -> DataFrame:

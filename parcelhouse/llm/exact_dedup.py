@@ -134,17 +134,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     groups = exact_groups(docs, id_col, text_col)
     lost = written(groups.where("not kept").select(
-        F.col("id").alias("_id"), F.col("digest").alias("_digest"), "keep_id"))
+        F.col("id").alias("__pc_id"), F.col("digest").alias("__pc_digest"), "keep_id"))
     digest = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))), 256)
-    same = docs[id_col].eqNullSafe(F.col("_id")) & (digest == F.col("_digest"))
-    kept = docs.join(lost.where("not (_id <=> keep_id)"), same, "left_anti")
+    same = docs[id_col].eqNullSafe(F.col("__pc_id")) & (digest == F.col("__pc_digest"))
+    kept = docs.join(lost.where("not (__pc_id <=> keep_id)"), same, "left_anti")
     # Rows that repeat both the id and the text of the one that stays: one of them is left.
-    repeated = lost.where("_id <=> keep_id").distinct()
+    repeated = lost.where("__pc_id <=> keep_id").distinct()
     if repeated.isEmpty():
         return kept
     first = (
-        kept.join(repeated, same, "left_semi").withColumn("_copy", digest)
-        .dropDuplicates([id_col, "_copy"]).drop("_copy")
+        kept.join(repeated, same, "left_semi").withColumn("__pc_copy", digest)
+        .dropDuplicates([id_col, "__pc_copy"]).drop("__pc_copy")
     )
     return kept.join(repeated, same, "left_anti").unionByName(first)
 

@@ -26,24 +26,24 @@ def _rolling(hashes: Column, size: Column, window: int) -> Column:
 
 
 def with_chunks(df: DataFrame, text_col: str, window: int, divisor: int) -> DataFrame:
-    """Adds _lines, and _spans: for each chunk its first line (from 1) and number of lines.
+    """Adds __pc_lines, and _spans: for each chunk its first line (from 1) and number of lines.
 
     A chunk ends after a line whose rolling hash is divisible by `divisor`. The hash covers
     `window` lines only, so a passage is cut at the same lines wherever it stands.
     """
     lines = (
-        df.withColumn("_lines", F.split(df[text_col], "\n", -1))
-        .withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
+        df.withColumn("__pc_lines", F.split(df[text_col], "\n", -1))
+        .withColumn("__pc_hashes", F.transform("__pc_lines", lambda x: F.xxhash64(x)))
     )
-    size = F.size("_lines")
+    size = F.size("__pc_lines")
     marked = F.transform(
-        _rolling(F.col("_hashes"), size, window),
+        _rolling(F.col("__pc_hashes"), size, window),
         lambda h, i: F.when(F.pmod(h, F.lit(divisor)) == 0, i + 1))
     ends = F.array_union(F.filter(marked, lambda i: i.isNotNull()), F.array(size))
     spans = F.zip_with(
-        F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.size("_ends") - 1)), F.col("_ends"),
+        F.concat(F.array(F.lit(0)), F.slice("__pc_ends", 1, F.size("__pc_ends") - 1)), F.col("__pc_ends"),
         lambda a, b: F.struct((a + 1).alias("first"), (b - a).alias("n")))
-    return lines.withColumn("_ends", ends).withColumn("_spans", spans).drop("_ends", "_hashes")
+    return lines.withColumn("__pc_ends", ends).withColumn("__pc_spans", spans).drop("__pc_ends", "__pc_hashes")
 
 
 def repeated_chunks(rows: DataFrame, window: int, divisor: int, least_lines: int = 2) -> DataFrame:
@@ -54,9 +54,9 @@ def repeated_chunks(rows: DataFrame, window: int, divisor: int, least_lines: int
     chunks the first stays: that of the smallest id, and in its document the earliest.
     """
     cut = with_chunks(rows.where("text is not null"), "text", window, divisor)
-    chunks = F.transform("_spans", lambda s, i: F.struct(
+    chunks = F.transform("__pc_spans", lambda s, i: F.struct(
         i.alias("number"), s["n"].alias("n"),
-        F.array_join(F.slice(F.col("_lines"), s["first"], s["n"]), "\n").alias("chunk")))
+        F.array_join(F.slice(F.col("__pc_lines"), s["first"], s["n"]), "\n").alias("chunk")))
     listed = cut.select(
         "id", F.xxhash64("text").alias("key"), F.explode(chunks).alias("c"),
     ).select("id", "key", "c.*")
@@ -98,26 +98,26 @@ def line_dedup(
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     lost = (
         repeated_chunks(rows, window, divisor).groupBy("id", "key")
-        .agg(F.collect_set("number").alias("_lost"))
-        .select(F.col("id").alias("_id"), F.col("key").alias("_key"), "_lost")
+        .agg(F.collect_set("number").alias("__pc_lost"))
+        .select(F.col("id").alias("__pc_id"), F.col("key").alias("__pc_key"), "__pc_lost")
     )
     names = [c for c in docs.columns if c not in ADDED]
-    source = docs.select(*names, F.xxhash64(docs[text_col]).alias("_text_key"))
-    same = source[id_col].eqNullSafe(lost["_id"]) & (source["_text_key"] == lost["_key"])
+    source = docs.select(*names, F.xxhash64(docs[text_col]).alias("__pc_text_key"))
+    same = source[id_col].eqNullSafe(lost["__pc_id"]) & (source["__pc_text_key"] == lost["__pc_key"])
     # Cut again after the join rather than shuffled with all lines.
     cut = with_chunks(source.join(lost, same, "left"), text_col, window, divisor)
-    kept = F.filter("_spans", lambda s, i: ~F.array_contains("_lost", i))
+    kept = F.filter("__pc_spans", lambda s, i: ~F.array_contains("__pc_lost", i))
     text = F.array_join(
-        F.flatten(F.transform(kept, lambda s: F.slice(F.col("_lines"), s["first"], s["n"]))), "\n")
+        F.flatten(F.transform(kept, lambda s: F.slice(F.col("__pc_lines"), s["first"], s["n"]))), "\n")
     gone = F.aggregate(
-        F.filter("_spans", lambda s, i: F.array_contains("_lost", i)), F.lit(0),
+        F.filter("__pc_spans", lambda s, i: F.array_contains("__pc_lost", i)), F.lit(0),
         lambda total, s: total + s["n"])
-    some = F.col("_lost").isNotNull()
+    some = F.col("__pc_lost").isNotNull()
     changed = {
         text_col: F.when(some, text).otherwise(F.col(text_col)),
-        "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"),
+        "n_lines": F.coalesce(F.size("__pc_lines"), F.lit(0)).cast("long"),
         "removed_lines": F.when(some, gone).otherwise(0).cast("long"),
-        "removed_chunks": F.when(some, F.size("_lost")).otherwise(0).cast("long"),
+        "removed_chunks": F.when(some, F.size("__pc_lost")).otherwise(0).cast("long"),
     }
     return cut.select(
         *[changed[c].alias(c) if c == text_col else F.col(c) for c in names],

@@ -288,7 +288,7 @@ def pseudonymise(
     rows = id_and_text(docs, id_col, text_col)
     again = written(redrawn(written(entities(rows)), key))
     names = [c for c in docs.columns if c != "n_replaced"]
-    keyed = docs.select(*names, F.xxhash64(docs[text_col]).alias("_text_key"))
+    keyed = docs.select(*names, F.xxhash64(docs[text_col]).alias("__pc_text_key"))
 
     def rewritten(frame: DataFrame) -> DataFrame:
         schema = frame.select(*names).schema.add("n_replaced", "long")
@@ -296,7 +296,7 @@ def pseudonymise(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = batch.column(text_col).to_pylist()
-                special = batch.column("_again").to_pylist()
+                special = batch.column("__pc_again").to_pylist()
                 new, counts = [], []
                 for text, entries in zip(texts, special):
                     attempts = {(e["kind"], e["value"]): e["attempt"] for e in entries or ()}
@@ -313,7 +313,7 @@ def pseudonymise(
 
     kind = "array<struct<kind:string,value:string,attempt:int>>"
     if again.isEmpty():
-        return rewritten(keyed.withColumn("_again", F.lit(None).cast(kind)))
+        return rewritten(keyed.withColumn("__pc_again", F.lit(None).cast(kind)))
 
     def with_entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,13 +329,15 @@ def pseudonymise(
         rows.select(F.xxhash64("text").alias("key"), "text")
         .mapInArrow(with_entities, "key long, kind string, value string").distinct()
         .join(again, ["kind", "value"])
-        .groupBy("key").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_again"))
+        .groupBy("key").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__pc_again"))
     )
     holders = written(holders)
     bits = key_filter(holders.select("key"))
-    may = passes(bits, F.col("_text_key"))
-    plain = keyed.where(~may).withColumn("_again", F.lit(None).cast(kind))
-    special = keyed.where(may).join(holders, F.col("_text_key") == F.col("key"), "left").drop("key")
+    may = passes(bits, F.col("__pc_text_key"))
+    plain = keyed.where(~may).withColumn("__pc_again", F.lit(None).cast(kind))
+    held = holders.withColumnRenamed("key", "__pc_holder")
+    special = keyed.where(may).join(
+        held, keyed["__pc_text_key"] == held["__pc_holder"], "left").drop("__pc_holder")
     return rewritten(plain.unionByName(special))
 
 

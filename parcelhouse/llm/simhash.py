@@ -247,12 +247,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without an id stay if their whole component has none.
     """
     groups = simhash_groups(docs, id_col, text_col, **options)
-    lost = groups.where("not (id <=> component_id)").select(F.col("id").alias("_id"))
-    stay = groups.where("id <=> component_id").select(F.col("id").alias("_id"))
+    lost = groups.where("not (id <=> component_id)").select(F.col("id").alias("__pc_id"))
+    stay = groups.where("id <=> component_id").select(F.col("id").alias("__pc_id"))
     # Ids of rows in several components stay if any of their rows does.
-    lost = lost.distinct().join(stay.distinct().withColumnRenamed("_id", "_stay"),
-                                F.col("_id").eqNullSafe(F.col("_stay")), "left_anti")
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["_id"]), "left_anti")
+    lost = lost.distinct().join(stay.distinct().withColumnRenamed("__pc_id", "__pc_stay"),
+                                F.col("__pc_id").eqNullSafe(F.col("__pc_stay")), "left_anti")
+    return docs.join(lost, docs[id_col].eqNullSafe(lost["__pc_id"]), "left_anti")
 
 
 def op6_simhash(spark, folder: str) -> DataFrame:

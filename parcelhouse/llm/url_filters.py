@@ -50,7 +50,7 @@ def judge_urls(
     result = ("host", "path", "rule", "verdict")
     host, path = host_and_path(pages[url_col])
     kept = [pages[c] for c in pages.columns if c not in result]
-    parsed = pages.select(*kept, host.alias("_host"), path.alias("_path"))
+    parsed = pages.select(*kept, host.alias("__pc_host"), path.alias("__pc_path"))
 
     clean = (
         rules.select(
@@ -67,34 +67,34 @@ def judge_urls(
     # How long rule paths are: no more numbers than the longest one has characters.
     sizes = [r[0] for r in clean.select(F.length("r_path")).distinct().collect()]
 
-    places = parsed.where("_host <> ''").select("_host", "_path").distinct()
-    labels = F.split("_host", r"\.")
+    places = parsed.where("__pc_host <> ''").select("__pc_host", "__pc_path").distinct()
+    labels = F.split("__pc_host", r"\.")
     suffixes = F.transform(
         labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
     lengths = F.filter(
         F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>"),
-        lambda n: n <= F.length("_path"))
+        lambda n: n <= F.length("__pc_path"))
     expressions = (
         places.withColumn("suffixes", F.array_distinct(suffixes)).withColumn("lengths", lengths)
-        .select("_host", "_path", F.explode("suffixes").alias("suffix"), "lengths")
-        .select("_host", "_path", "suffix", F.explode("lengths").alias("n"))
+        .select("__pc_host", "__pc_path", F.explode("suffixes").alias("suffix"), "lengths")
+        .select("__pc_host", "__pc_path", "suffix", F.explode("lengths").alias("n"))
         .withColumn("digest", _digest(
-            F.col("suffix"), F.col("_path").substr(F.lit(1), F.col("n"))))
+            F.col("suffix"), F.col("__pc_path").substr(F.lit(1), F.col("n"))))
         .withColumn("key", F.substring("digest", 1, HASH_PREFIX))
-        .select("_host", "_path", "digest", "key")
+        .select("__pc_host", "__pc_path", "digest", "key")
     )
     fits = expressions.join(
         clean, (F.col("key") == F.col("r_key")) & (F.col("digest") == F.col("r_digest")))
-    best = fits.groupBy("_host", "_path").agg(F.max(F.struct(
+    best = fits.groupBy("__pc_host", "__pc_path").agg(F.max(F.struct(
         (F.length("r_host") + F.length("r_path")).alias("size"),
         (F.col("r_verdict") == "block").alias("blocks"),
         F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict"),
-    )).alias("best"))
-    return parsed.join(best, ["_host", "_path"], "left").select(
+    )).alias("__pc_best"))
+    return parsed.join(best, ["__pc_host", "__pc_path"], "left").select(
         *[c for c in pages.columns if c not in result],
-        F.col("_host").alias("host"), F.col("_path").alias("path"),
-        F.col("best.rule").alias("rule"),
-        F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict"))
+        F.col("__pc_host").alias("host"), F.col("__pc_path").alias("path"),
+        F.col("__pc_best.rule").alias("rule"),
+        F.coalesce(F.col("__pc_best.verdict"), F.lit(default)).alias("verdict"))
 
 
 def op7_url_filters(spark, folder: str) -> DataFrame:

@@ -1,0 +1,328 @@
+"""Packing, language model, decontamination, URL rules, personal data and classifiers."""
+
+import collections
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from parcelhouse.llm import lm, pii
+from parcelhouse.llm.decontamination import align, contaminated, without_contaminated
+from parcelhouse.llm.elias_fano import EliasFano, pack, unpack
+from parcelhouse.llm.packing import ChunkTokenizer, Packer, default_tokenizer
+from parcelhouse.llm.packing import pack as pack_documents
+from parcelhouse.llm.quality import Network, fit_quality, keep_good, score_quality
+from parcelhouse.llm.toxicity import fit_toxicity, score_toxicity
+from parcelhouse.llm.url_filters import judge_urls
+
+WORDS = [a + b + c for a in "btdkl" for b in "aeiou" for c in "nrs"]
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+# Packing
+
+ODD_TEXTS = [
+    "The e\u0301tude don't it's <|endoftext|> <|ENDOFTEXT|> \u0130stanbul \u03a3\u039f\u03a3 a\u00a0b",
+    "c\u2003d x\x1cy T\u0308 \u00aa\u00b5\u00df \ufb01 \u2167 n\u00ba5 日本語 а́ it's. we'll! '' 's.", "", " ", "\n",
+    "ÀÉÎ ÖÜ %%%&&& a.b,c 12.5%  caf\u00e9s'",
+]
+
+
+def test_chunks_give_the_tokenizers_ids():
+    encoder = ChunkTokenizer(default_tokenizer())
+    for text in ODD_TEXTS:
+        ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == ids
+
+
+def test_packer_chooses_the_smallest_sum_of_squares():
+    rng, packer = random.Random(2), Packer(16)
+    for k in range(300):
+        length = rng.randrange(1, 16)
+        before = packer.levels.copy()
+
+        def cost(level):
+            n = before.copy()
+            if level:
+                n[level] -= 1
+            if level + length < 16:
+                n[level + length] += 1
+            return int((n[1:16] ** 2).sum())
+
+        best = min(cost(h) for h in range(0, 17 - length) if h == 0 or before[h])
+        packer.place([k, 0, length, bytes(4 * length), length])
+        assert int((packer.levels[1:16] ** 2).sum()) == best
+    assert packer.n_open == packer.levels[1:16].sum()
+
+
+def test_packing_round_trip(documents):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, rng.randrange(0, 300))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, prose(rng, 9000)), (None, "a b")]
+    encoder = ChunkTokenizer(default_tokenizer())
+    pieces = pack_documents(documents(rows).coalesce(2), size=256).collect()
+    whole, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for p in pieces:
+        whole[p["doc_id"]].append((p["start"], bytes(p["ids"])))
+        sequences[p["sequence_id"]].append((p["offset"], p["length"]))
+        assert len(p["ids"]) == 4 * p["length"]
+    for i, text in rows:
+        expected = encoder.ids(text or "") + np.array([2], "<u4").tobytes()
+        assert b"".join(b for _, b in sorted(whole[i])) == expected
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 256 and (at == 256 or at & (at - 1) == 0)
+    assert pack_documents(documents([])).count() == 0
+
+
+# Language model
+
+@pytest.mark.parametrize("n, universe", [(0, 9), (1, 1), (900, 900), (500, 2**62), (3000, 10**7)])
+def test_elias_fano(n, universe):
+    rng = np.random.default_rng(n)
+    values = np.unique(rng.integers(0, universe, n)) if n else np.zeros(0, np.int64)
+    coded = EliasFano.of(unpack(np.frombuffer(pack(EliasFano.build(values, universe).arrays()), np.uint8)))
+    asked = np.concatenate([values, rng.integers(0, universe, 200)])
+    place, found = coded.successor(asked)
+    assert np.array_equal(found, np.isin(asked, values))
+    if len(values):
+        assert np.array_equal(place, np.searchsorted(values, asked))
+        assert np.array_equal(coded.get(np.arange(len(values))), values)
+
+
+def test_lm_against_brute_force(documents, monkeypatch):
+    monkeypatch.setattr(lm, "TOKENS_PER_SHARD", 500)
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randrange(0, 80))) for i in range(150)]
+    rows += [(500, None), (501, ""), (502, "Ban ban unseenword \u00e9\tban\x1c"), (None, "ban")]
+    docs = documents(rows)
+    model = lm.train(docs, train_where=~lm.left_out(F.col("doc_id")))
+    found = {r["id"]: r for r in lm.score(docs, model).collect()}
+    words = {i: (t or "").encode().lower().split() + [lm.END] for i, t in rows}
+    c, pairs = collections.Counter(), collections.Counter()
+    for i, w in words.items():
+        if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1:
+            c.update(w)
+            pairs.update(zip([lm.END, *w], w))
+    total, size = sum(c.values()), len(c)
+    after = collections.Counter(a for a, _ in pairs)
+    d1, d2 = (
+        lm._discount(sum(v == 1 for v in x.values()), sum(v == 2 for v in x.values()))
+        for x in (c, pairs))
+
+    def p(before, word):
+        low = (c[word] - d1) / total if c[word] else d1 * size / total
+        if not c[before]:
+            return low
+        return max(pairs[before, word] - d2, 0) / c[before] + d2 * after[before] / c[before] * low
+
+    assert sum(p(lm.END, w) for w in [*c, b"no such"]) == pytest.approx(1)
+    for i, w in words.items():
+        row = found[i]
+        assert (row["n_tokens"], row["n_known"]) == (len(w), sum(c[x] > 0 for x in w))
+        base = sum(math.log10((c[x] + 0.5) / (total + 0.5 * (size + 1))) for x in w)
+        assert row["base_score"] == pytest.approx(base)
+        exact = sum(math.log10(p(a, b)) for a, b in zip([lm.END, *w], w))
+        assert row["score"] == pytest.approx(exact, abs=0.05 * len(w))
+
+
+def test_lm_without_training_texts(documents):
+    empty = documents([])
+    model = lm.train(empty)
+    assert lm.score(empty, model).count() == 0
+    assert lm.score(documents([(1, "a b")]), model).first()["score"] == 0
+
+
+# Decontamination
+
+def plain_alignment(a, b):
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            step = 2 if a[i - 1] == b[j - 1] else -1
+            h[i][j] = max(0, h[i - 1][j - 1] + step, h[i - 1][j] - 1, h[i][j - 1] - 1)
+    return max(map(max, h))
+
+
+def test_alignment():
+    rng = random.Random(7)
+    for _ in range(60):
+        a, b = ([rng.choice("abc") for _ in range(rng.randrange(1, 14))] for _ in "xy")
+        assert align(a, b)[0] == plain_alignment(a, b)
+
+
+def test_contaminated(documents, text_spark):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 40)) for k in range(5)] + [(8, "too short"), (9, None)]
+    edited = items[1][1].split()
+    for k in (5, 14, 23, 32):
+        edited[k] = "changed"
+    del edited[18]
+    long_item = prose(rng, 700)
+    items.append((20, long_item))
+    rows = [(i, prose(rng, 200)) for i in range(30)]
+    rows += [
+        (100, f"{prose(rng, 50)} {items[0][1].upper()}! {prose(rng, 50)}"),
+        (101, f"{prose(rng, 5000)} {', '.join(edited)} {prose(rng, 20)}"),
+        (102, None), (103, ""), (None, items[2][1]),
+        (104, " ".join(items[3][1].split()[:10]) + " " + prose(rng, 60)),
+        (105, " ".join(long_item.split()[300:600])),
+    ]
+    benchmark = text_spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["id"], r["item"]): r for r in contaminated(documents(rows), benchmark).collect()}
+    assert set(found) == {(100, 0), (101, 1), (None, 2), (105, 20)}
+    assert found[100, 0]["score"] == 1.0 and found[100, 0]["start"] == 50
+    assert 0.5 < found[101, 1]["score"] < 1
+    left = without_contaminated(documents(rows), benchmark)
+    assert left.count() == len(rows) - 4
+    nothing = text_spark.createDataFrame([], "item_id long, text string")
+    assert contaminated(documents(rows), nothing).count() == 0
+    assert contaminated(documents([]), benchmark).count() == 0
+
+
+# URL rules
+
+def test_url_rules(text_spark):
+    urls = [
+        "http://A.Example.net/en/x?y#z", "https://example.net/en", "x://deep.a.b.net", "no scheme",
+        None, "", "http://net", "http://evilnet/", "ftp://example.com/de/1", "http://org/fr/?a://b",
+        "http://example.org/a#/fr/", "http://long.rule.com/abcd", "http://tie.com/", "http:///only/path",
+        "http://" + "a." * 300 + "net/" + "x" * 5000,
+    ]
+    rules = [
+        ("net", "/", "block"), ("example.net", "/en/", "allow"), (".Example.com", "/de/", "block"),
+        ("org", "/fr/", "allow"), ("rule.com", "/abc", "block"), ("rule.com", "/ab", "allow"),
+        ("tie.com", "/", "allow"), ("tie.com", "/", "block"), (None, "/", "block"), ("x", "/", None),
+        ("example.org", None, "block"),
+    ]
+    pages = text_spark.createDataFrame(
+        [(i % 13, u, "old") for i, u in enumerate(urls)], "page_id int, url string, host string")
+    found = judge_urls(pages, text_spark.createDataFrame(rules, "host string, path string, verdict string"))
+    assert found.count() == len(urls)
+    clean = [(h.lower().lstrip("."), p or "", v) for h, p, v in rules if h and v]
+    for row in found.collect():
+        m = re.match(r"(?s)[^:]*?://([^/?#]*)([^?#]*)", row["url"] or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        assert (row["host"], row["path"]) == (host, path)
+        fits = [r for r in clean if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+        best = max(fits, key=lambda r: (len(r[0] + r[1]), r[2] == "block"), default=None)
+        assert row["rule"] == (best[0] + best[1] if best else None)
+        assert row["verdict"] == (best[2] if best else "allow")
+    none = text_spark.createDataFrame([], "host string, path string, verdict string")
+    assert judge_urls(pages, none).where("verdict <> 'allow'").isEmpty()
+
+
+# Personal data
+
+def test_surrogates(documents):
+    rows = [
+        (1, "Dr. Anna Schmidt and Frau Schmidt, Herr MÜLLER, Анна Петрова."),
+        (2, "Call +1 (706) 555-3138 or mail Jo.81@mail7.example.com, 4111 1111 1111 1111!"),
+        (3, "jo.81@mail7.example.com 169.122.221.182 token=\"9233A8ECF7C5B09FE5949719B6B82BC439E9329B\""),
+        (4, None), (5, ""), (None, "clean text, nothing in it: 12, 3.4."), (2, "John Smith"),
+    ]
+    out = {(r["doc_id"], r["n_replaced"]): r["text"] for r in
+           pii.pseudonymise(documents(rows), b"key").collect()}
+    joined = " ".join(t for t in out.values() if t)
+    for private in ("Schmidt", "MÜLLER", "Петрова", "3138", "jo.81", "4111 1111", "169.122", "9233A8EC", "Smith"):
+        assert private not in joined
+    first = out[1, 6]
+    family = re.match(r"Dr\. \w+ (\w+) and Frau (\w+), Herr ([A-ZÜ]+), [А-я]+ [А-я]+\.$", first)
+    assert family and family[1] == family[2]
+    assert re.fullmatch(r"Call \+1 \(\d{3}\) \d{3}-\d{4} or mail \S+@\S+, (\d{4} ){3}\d{4}!", out[2, 3])
+    card = re.search(r"(\d{4} ){3}\d{4}", out[2, 3])[0].replace(" ", "")
+    assert int(card[-1]) == pii._luhn(card[:-1])
+    assert re.search(r"\S+@\S+", out[2, 3])[0].rstrip(",").lower() == re.search(r"\S+@\S+", out[3, 3])[0]
+    assert out[None, 0] == "clean text, nothing in it: 12, 3.4."
+    assert out[4, 0] is None
+    assert pii.pseudonymise(documents([]), b"key").count() == 0
+
+
+def test_collisions_are_drawn_again(documents, monkeypatch, text_spark):
+    real = pii.draw
+    monkeypatch.setattr(pii, "draw", lambda key, kind, value, attempt=0: (
+        "10.0.0.1" if attempt == 0 else real(key, kind, value, attempt)))
+    found = text_spark.createDataFrame(
+        [("ip", "10.0.0.1"), ("ip", "11.0.0.2"), ("ip", "12.0.0.3")], "kind string, value string")
+    again = pii.redrawn(found, b"key").collect()
+    assert len(again) == 3 and all(r["attempt"] >= 1 for r in again)
+
+
+# Classifiers
+
+def labelled(documents, text_spark, make):
+    rng = random.Random(9)
+    rows = [(i, make(rng, i % 3 == 0)) for i in range(600)]
+    labels = text_spark.createDataFrame(
+        [(i, int(i % 3 != 0), int(i % 3 == 0)) for i in range(600)] + [(None, 1, 1), (9999, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    return rows, documents(rows + [(700, None), (701, ""), (None, "ban ban")]), labels
+
+
+def test_quality(documents, text_spark, monkeypatch):
+    monkeypatch.setattr("parcelhouse.llm.quality.EPOCHS", 12)
+    rows, docs, labels = labelled(documents, text_spark, lambda rng, bad: (
+        " | ".join(prose(rng, 40).split()) if bad else prose(rng, rng.randrange(20, 200))))
+    net = fit_quality(docs, labels)
+    found = {r["id"]: r["score"] for r in score_quality(docs, net).collect()}
+    assert len(found) == len(rows) + 3 and all(0 <= s <= 1 for s in found.values())
+    right = [(found[i] >= 0.7) == (i % 3 != 0) for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(right) > 50 and sum(right) > 0.95 * len(right)
+    kept = keep_good(docs, net)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(s >= 0.7 for s in found.values())
+    # Whole texts: what comes late counts as well, and how texts are batched does not.
+    texts = [t.encode() for _, t in rows[:7]] + [b"", b"x" * 100_000]
+    assert np.allclose(net.score(texts), [net.score([t])[0] for t in texts], atol=1e-5)
+
+
+def test_quality_gradient():
+    net = Network.start(3)
+    texts, labels = [b"some bytes here", b"other | bytes | here " * 30], np.array([0, 1], np.float32)
+    grads = net._gradients(texts, labels)
+
+    def loss():
+        p = net.score(texts).astype(float)
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    for name, at in (("out", 2), ("hidden", (40, 3)), ("conv", (9, 4)), ("embed", (ord("e"), 1))):
+        weight, step = net.weights[name], 1e-2
+        old = weight[at]
+        weight[at] = old + step
+        up = loss()
+        weight[at] = old - step
+        down = loss()
+        weight[at] = old
+        assert grads[name][at] == pytest.approx((up - down) / (2 * step), abs=2e-3)
+
+
+def test_classifiers_without_labels(documents, text_spark):
+    docs = documents([(1, "a b"), (2, None)])
+    none = text_spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert score_quality(docs, fit_quality(docs, none)).count() == 2
+    assert [r["score"] for r in score_toxicity(docs, fit_toxicity(docs, none)).collect()] == [0, 0]
+    assert score_toxicity(documents([]), fit_toxicity(docs, none)).count() == 0
+
+
+def test_toxicity(documents, text_spark):
+    def make(rng, bad):
+        words = prose(rng, 60).split()
+        for _ in range(3 if bad else 0):
+            words[rng.randrange(60)] = rng.choice(["idiot!", "Moron", "you clown", "1di0t"])
+        return " ".join(words)
+
+    rows, docs, labels = labelled(documents, text_spark, make)
+    found = {r["id"]: r["score"] for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect()}
+    assert len(found) == len(rows) + 3 and all(0 <= s <= 1 for s in found.values())
+    right = [(found[i] >= 0.3) == (i % 3 == 0) for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum(right) > 0.95 * len(right)
