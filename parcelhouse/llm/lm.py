@@ -50,10 +50,16 @@ def _least(a: np.ndarray) -> np.ndarray:
 
 
 def _quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and a codebook: STEPS bins with about equal numbers of values, each its mean."""
+    """Codes and a codebook of at most STEPS bins, each with the mean of its values.
+
+    Half of the edges part the values into equal numbers and half into equal widths, so that
+    common values are exact and rare ones not far off.
+    """
     if not len(values):
         return np.zeros(0, np.uint8), np.zeros(STEPS, np.float32)
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, STEPS + 1)[1:-1]))
+    half = np.linspace(0, 1, STEPS // 2 + 1)[1:-1]
+    low, high = values.min(), values.max()
+    edges = np.unique(np.concatenate([np.quantile(values, half), low + (high - low) * half]))
     codes = np.searchsorted(edges, values, "right")
     sums = np.bincount(codes, values, STEPS)
     sizes = np.bincount(codes, minlength=STEPS)

@@ -129,6 +129,7 @@ class Network:
         d_hidden = d_logit[:, None] * w["out"] * (hidden > 0)
         d_features = d_hidden @ w["hidden"].T
         is_top = found == top[owner]
+        is_top = is_top / np.add.reduceat(is_top, starts, dtype=np.float32)[owner]
         d_found = d_features[owner, :FILTERS] / counts[owner, None] + is_top * d_features[owner, FILTERS:]
         d_found = (d_found * (found > 0)).astype(np.float32)
         # Only the position of each maximum takes part in the gradient.

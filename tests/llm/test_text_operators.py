@@ -133,7 +133,7 @@ def test_lm_against_brute_force(documents, monkeypatch):
         base = sum(math.log10((c[x] + 0.5) / (total + 0.5 * (size + 1))) for x in w)
         assert row["base_score"] == pytest.approx(base)
         exact = sum(math.log10(p(a, b)) for a, b in zip([lm.END, *w], w))
-        assert row["score"] == pytest.approx(exact, abs=0.05 * len(w))
+        assert row["score"] == pytest.approx(exact, abs=0.05 * len(w)), (i, w)
 
 
 def test_lm_without_training_texts(documents):
