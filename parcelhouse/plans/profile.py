@@ -29,3 +29,14 @@ def missing_columns(name: str, found: Iterable[str]) -> list[str]:
     """Declared columns that a file header or table lacks."""
     present = set(found)
     return [c for c in TABLES[name].names if c not in present]
+
+
+def conformance(found: dict[str, DataFrame]) -> DataFrame:
+    """(table, declared, missing_column): one row per missing column, or one with null."""
+    some = next(iter(found.values()))
+    lines = [
+        (name, len(TABLES[name].names), column)
+        for name, df in found.items() for column in missing_columns(name, df.columns) or [None]
+    ]
+    return some.sparkSession.createDataFrame(
+        lines, "table string, declared bigint, missing_column string")

@@ -153,11 +153,13 @@ def freight_share(categories: DataFrame) -> DataFrame:
     )
 
 
+def freight_share_by_category(categories: DataFrame) -> DataFrame:
+    return categories.select("category", "freight_share", "freight_value", "total_value")
+
+
 def top_freight_shares(categories: DataFrame, k: int = 10) -> DataFrame:
-    return (
-        categories.select("category", "freight_share", "freight_value", "total_value")
-        .orderBy(F.desc("freight_share"), "category").limit(k)
-    )
+    shares = freight_share_by_category(categories)
+    return shares.orderBy(F.desc("freight_share"), "category").limit(k)
 
 
 def top_categories(categories: DataFrame, k: int = 1) -> DataFrame:

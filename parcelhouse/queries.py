@@ -115,6 +115,53 @@ def raw_load_counts(spark: SparkSession, folder: str) -> DataFrame:
     return audits.row_counts(build.table, [t.name for t in in_layer("raw")])
 
 
+@query
+def number_items_by_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Items numbered the way oversized orders are, forced for every order above three lines."""
+    return RawTables(tuned(spark), folder, rows_per_task=3)["order_items"]
+
+
+@query
+def load_csv_byte_order_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """A file that begins with a byte order mark."""
+    raw = RawTables(tuned(spark), folder)["sellers"]
+    first = raw.columns[0]
+    marked = raw.withColumnRenamed(first, "\ufeff" + first)
+    files = scratch_dir(spark, "csv")
+    marked.write.option("header", True).csv(f"{files}/sellers_dataset.csv")
+    return CsvTables(spark, files)["sellers"]
+
+
+@query
+def load_csv_point_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Points loaded from CSV and how many different ids they were given."""
+    raw = RawTables(tuned(spark), folder)
+    files = write_csv(raw, scratch_dir(spark, "csv"), ["geolocation"])
+    return CsvTables(spark, files)["geolocation"].agg(
+        F.count(F.lit(1)).alias("points"), F.count_distinct("geolocation_id").alias("ids"))
+
+
+@query
+def compare_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts against expected ones, of which one is wrong and one is of a missing table."""
+    raw = RawTables(tuned(spark), folder)
+    names = ["raw.customers", "raw.sellers"]
+    actual = audits.row_counts(lambda name: raw[name.split(".")[1]], names)
+    sizes = {r["table"]: r["rows"] for r in actual.collect()}
+    expected = {"raw.customers": sizes["raw.customers"], "raw.sellers": sizes["raw.sellers"] + 1,
+                "raw.orders": 0}
+    return audits.compare_counts(actual, expected)
+
+
+@query
+def schema_conformance(spark: SparkSession, folder: str) -> DataFrame:
+    """Declared columns the raw tables lack, after two were taken away."""
+    raw = RawTables(tuned(spark), folder)
+    found = {t.name: raw[t.name.split(".")[1]] for t in in_layer("raw")}
+    found["raw.sellers"] = found["raw.sellers"].drop("seller_city", "seller_state")
+    return profile.conformance(found)
+
+
 @query
 def table_profile(spark: SparkSession, folder: str) -> DataFrame:
     raw = RawTables(tuned(spark), folder)
@@ -260,6 +307,8 @@ _REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "repeat_share": lambda w: reports.repeat_share(w.customer_performance),
     "spend_by_repeat": lambda w: reports.spend_by_repeat(w.customer_performance),
     "freight_share": lambda w: reports.freight_share(w.category_performance),
+    "freight_share_by_category": lambda w: reports.freight_share_by_category(
+        w.category_performance),
     "top_freight_shares": lambda w: reports.top_freight_shares(w.category_performance),
     "reconciled_share": lambda w: reports.reconciled_share(w.order_summary),
     "row_counts": lambda w: audits.row_counts(w.table, reports.PUBLISHED),

@@ -155,7 +155,9 @@ def _value(name: str, kind: str) -> Column:
         # Whole numbers with missing values are often exported as 40.0.
         number = text.cast("decimal(24,4)")
         message = F.concat(F.lit(f"{name} is not a whole number: "), text)
-        broken = number != F.floor(number)
+        # The cast rounds, so decimals are looked for in the text as well.
+        decimals = text.rlike(r"^[^eE]*\.\d*[1-9]\d*\s*$")
+        broken = (number != F.floor(number)) | decimals
         return F.when(broken, F.raise_error(message)).otherwise(number).cast(kind)
     return text.cast(kind)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelhouse.functions.columns import AMOUNT, TOTAL
-from parcelhouse.operators.numbering import number_within, oversized_groups
+from parcelhouse.operators.numbering import ROWS_PER_TASK, number_within, oversized_groups
 
 ITEM_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -21,15 +21,16 @@ ITEM_ORDER = [
 
 # Oversized orders by session and folder. They only steer how rows are spread, so a list
 # from before a change of the files still gives right numbers.
-_HOT_ORDERS: dict[tuple[str, str], dict] = {}
+_HOT_ORDERS: dict[tuple[str, str, int], DataFrame | None] = {}
 
 
 class RawTables(dict):
     """The raw tables by name, each built when first asked for."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TASK):
+        """Items of orders with more than `rows_per_task` lines are numbered by many tasks."""
         super().__init__()
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.rows_per_task = spark, folder, rows_per_task
 
     def __missing__(self, name: str) -> DataFrame:
         self[name] = _BUILDERS[name](self)
@@ -38,10 +39,12 @@ class RawTables(dict):
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def hot_orders(self) -> dict:
-        scope = (self.spark.sparkContext.applicationId, self.folder)
+    def hot_orders(self) -> DataFrame | None:
+        scope = (self.spark.sparkContext.applicationId, self.folder, self.rows_per_task)
         if scope not in _HOT_ORDERS:
-            _HOT_ORDERS[scope] = oversized_groups(self.read("lineitem"), "l_orderkey")
+            order = F.concat(F.lit("o"), "l_orderkey").alias("order_id")
+            lines = self.read("lineitem").select(order)
+            _HOT_ORDERS[scope] = oversized_groups(lines, "order_id", self.rows_per_task)
         return _HOT_ORDERS[scope]
 
 
@@ -94,8 +97,8 @@ def orders(source: RawTables) -> DataFrame:
 
 def order_items(source: RawTables) -> DataFrame:
     lines = source.read("lineitem").withColumn("order_id", F.concat(F.lit("o"), "l_orderkey"))
-    hot = {f"o{order}": size for order, size in source.hot_orders().items()}
-    return number_within(lines, "order_id", ITEM_ORDER, "order_item_id", hot).select(
+    hot, limit = source.hot_orders(), source.rows_per_task
+    return number_within(lines, "order_id", ITEM_ORDER, "order_item_id", hot, limit).select(
         "order_id",
         "order_item_id",
         F.concat(F.lit("p"), "l_partkey").alias("product_id"),

@@ -111,8 +111,9 @@ def test_integers_with_decimals_and_missing_values(spark, tmp_path):
     assert df.schema["product_name_length"].dataType.simpleString() == "int"
 
 
-def test_fraction_in_integer_column_is_an_error(spark, tmp_path):
-    path = write(tmp_path, "p.csv", PRODUCT_HEADER + "p1,perfumaria,40.5,1,1,1,1,1,1\n")
+@pytest.mark.parametrize("number", ["40.5", "40.00001", "0.000000000000000000000000001"])
+def test_fraction_in_integer_column_is_an_error(spark, tmp_path, number):
+    path = write(tmp_path, "p.csv", PRODUCT_HEADER + f"p1,perfumaria,{number},1,1,1,1,1,1\n")
     with pytest.raises(PySparkException, match="not a whole number"):
         raw_table(spark, "products", path).collect()
 

@@ -23,22 +23,28 @@ def lines(spark, small):
 
 def test_dominant_group_is_found(lines):
     sizes = {r["k"]: r["count"] for r in lines.groupBy("k").count().collect()}
-    found = oversized_groups(lines, "k", 1000)
-    assert set(found) == {7} and found[7] == pytest.approx(sizes[7], rel=0.01)
-    assert oversized_groups(lines, "k", 1_000_000) == {}
+    assert rows(oversized_groups(lines, "k", 1000)) == {(7, sizes[7])}
+    assert oversized_groups(lines, "k", 1_000_000) is None
+
+
+def test_every_oversized_group_is_found(spark):
+    many = spark.range(1500).selectExpr("id AS k", "explode(sequence(1, 12)) AS l")
+    found = oversized_groups(many.unionByName(spark.range(5000, 9000).selectExpr("id AS k", "1 AS l")), "k", 10)
+    assert found.count() == 1500
 
 
 def test_numbers_equal_a_window_over_the_whole_group(lines):
     window = Window.partitionBy("k").orderBy("l_linenumber", "s")
     expected = lines.withColumn("n", F.row_number().over(window).cast("bigint"))
-    for hot in ({}, {7: 4000}, {7: 4000, -1: 5}):
+    sizes = lines.groupBy("k").agg(F.count("k").alias("_size"))
+    for hot in (None, sizes.where("k = 7"), sizes.where("k % 2 = 1"), sizes):
         got = number_within(lines, "k", ["l_linenumber", "s"], "n", hot, limit=300)
         assert got.columns == expected.columns
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
 def test_dominant_group_is_spread(lines):
-    got = number_within(lines, "k", ["l_linenumber", "s"], "n", {7: 4000}, limit=300)
+    got = number_within(lines, "k", ["l_linenumber", "s"], "n", oversized_groups(lines, "k", 1000), limit=300)
     held = got.where("k = 7").groupBy(F.spark_partition_id()).count()
     largest, total = held.agg(F.max("count"), F.sum("count")).first()
     assert largest < total / 2
