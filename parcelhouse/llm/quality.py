@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -189,9 +190,26 @@ def fit_quality(
     docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
     text_col: str = "text", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES,
 ) -> Network:
-    """A network fitted on a bounded sample of labelled documents that are not held out."""
-    sample = training_sample(docs, labels, label, rows, most_bytes, id_col, text_col).collect()
-    return Network.fit([r["text"].encode() for r in sample], [r["label"] for r in sample])
+    """A network fitted on a bounded sample of labelled documents that are not held out.
+
+    One task fits it, which a lost executor only repeats; the driver receives the weights.
+    """
+    sample = training_sample(docs, labels, label, rows, most_bytes, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[bytes] = []
+        targets: list[int] = []
+        for batch in batches:
+            texts += [t.as_buffer().to_pybytes() for t in batch.column("text")]
+            targets += batch.column("label").to_pylist()
+        stored = io.BytesIO()
+        np.savez(stored, **Network.fit(texts, targets).weights)
+        yield pa.RecordBatch.from_arrays([pa.array([stored.getvalue()], pa.binary())], ["weights"])
+
+    found = sample.coalesce(1).mapInArrow(run, "weights binary").collect()
+    if not found:
+        return Network.fit([], [])
+    return Network(dict(np.load(io.BytesIO(found[0]["weights"]))))
 
 
 def score_quality(
