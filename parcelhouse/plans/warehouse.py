@@ -70,15 +70,6 @@ class Warehouse:
     def dim_customer(self):
         return dimensions.customer(self.staging_customers, self.staging_geolocation)
 
-    @cached_property
-    def people(self):
-        """dim_customer without coordinates.
-
-        The marts use no coordinates, and a left join to one row per ZIP prefix changes
-        nothing else, so a plan built in one piece need not group all points for them.
-        """
-        return self.staging_customers
-
     @cached_property
     def dim_seller(self):
         return dimensions.seller(self.staging_sellers, self.staging_geolocation)
@@ -109,7 +100,7 @@ class Warehouse:
 
     @cached_property
     def delivery_performance(self):
-        return marts.delivery_performance(self.fact_orders, self.people)
+        return marts.delivery_performance(self.fact_orders, self.dim_customer)
 
     @cached_property
     def category_performance(self):
@@ -118,9 +109,9 @@ class Warehouse:
     @cached_property
     def customer_performance(self):
         return marts.customer_performance(
-            self.order_summary, self.people, self.dim_date, self.fact_reviews
+            self.order_summary, self.dim_customer, self.dim_date, self.fact_reviews
         )
 
     @cached_property
     def payment_analysis(self):
-        return marts.payment_analysis(self.order_summary, self.people, self.fact_payments)
+        return marts.payment_analysis(self.order_summary, self.dim_customer, self.fact_payments)

@@ -326,7 +326,7 @@ _REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "lateness_basis": lambda w: reports.lateness_basis(w.staging_orders),
     "fan_out": lambda w: reports.fan_out(w.fact_order_items, w.fact_payments),
     "repeated_reviews_and_moves": lambda w: reports.repeated_reviews_and_moves(
-        w.fact_reviews, w.people),
+        w.fact_reviews, w.dim_customer),
 }
 for _name, _build in _REPORTS.items():
     from_warehouse(f"report_{_name}", _build)

@@ -182,10 +182,9 @@ def products(source: RawTables) -> DataFrame:
 
 def category_translation(source: RawTables) -> DataFrame:
     names = source.read("part").where(~F.col("p_name").isin("old gizmo", "blue rod"))
-    return names.select(
-        F.col("p_name").alias("product_category_name"),
-        F.upper("p_name").alias("product_category_name_english"),
-    ).distinct()
+    # Grouped by the name alone, so that Spark knows it to be unique and can drop joins to it.
+    return names.groupBy(F.col("p_name").alias("product_category_name")).agg(
+        F.upper(F.first("p_name")).alias("product_category_name_english"))
 
 
 def sellers(source: RawTables) -> DataFrame:
