@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -21,8 +22,8 @@ from parcelhouse.llm.common import id_and_text, table
 from parcelhouse.llm.labelled import held_out, training_sample
 
 FEATURES = (
-    "lexicon_density", "lexicon_hits", "lexicon_kinds", "disguised_rate", "second_person_rate",
-    "near_second_person", "capital_rate", "shouted_rate", "exclamation_rate", "mark_rate",
+    "lexicon_density", "lexicon_hits", "lexicon_kinds", "lexicon_weight", "stem_rate",
+    "disguised_rate", "second_person_rate", "near_second_person", "capital_rate", "shouted_rate", "exclamation_rate", "mark_rate",
     "digit_rate",
 )
 # The sample the model is fitted on: at most so many documents of at most so many bytes.
@@ -37,20 +38,25 @@ SECOND_PERSON = frozenset(
     "votre vos tú ti usted ustedes vosotros".split())
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 INNER = re.compile(r"[\W_]+")
-LEXICON, DISGUISED, SECOND, SHOUTED = 1, 2, 4, 8
+LEXICON, DISGUISED, SECOND, SHOUTED, STEM = 1, 2, 4, 8, 16
+# Beginnings of so many letters stand for all words made from them.
+STEM_SIZES = range(4, 10)
+LEAST_ODDS = 3
 
 
 @dataclass
 class Lexicon:
-    """Words that mark toxic texts, and what each chunk of a text is."""
+    """Words and beginnings of words that mark toxic texts, with their log odds, and what
+    each chunk of a text is."""
 
-    words: frozenset[str]
-    _seen: dict[str, tuple[int, str]] = field(default_factory=dict)
+    words: dict[str, float]
+    stems: dict[str, float] = field(default_factory=dict)
+    _seen: dict[str, tuple[int, str, float]] = field(default_factory=dict)
 
     def __getstate__(self):
-        return {"words": self.words, "_seen": {}}
+        return {"words": self.words, "stems": self.stems, "_seen": {}}
 
-    def kind(self, chunk: str) -> tuple[int, str]:
+    def kind(self, chunk: str) -> tuple[int, str, float]:
         found = self._seen.get(chunk)
         if found is None:
             if len(self._seen) > CACHED_WORDS:
@@ -58,37 +64,71 @@ class Lexicon:
             found = self._seen[chunk] = self._kind(chunk)
         return found
 
-    def _kind(self, chunk: str) -> tuple[int, str]:
+    def _kind(self, chunk: str) -> tuple[int, str, float]:
         core = EDGES.sub("", chunk)
         word = core.lower()
         flags = SHOUTED if len(core) > 1 and core.isupper() else 0
         if word in SECOND_PERSON:
             flags |= SECOND
         if word in self.words:
-            return flags | LEXICON, word
+            return flags | LEXICON, word, self.words[word]
         # i-d-i-o-t, 1d1ot, idiiiot
         plain = INNER.sub("", chunk.lower().translate(DISGUISES))
         for guess in (plain, INNER.sub("", word), re.sub(r"(.)\1+", r"\1", plain)):
             if guess != word and guess in self.words:
-                return flags | LEXICON | DISGUISED, guess
-        return flags, ""
+                return flags | LEXICON | DISGUISED, guess, self.words[guess]
+        stems = [word[:k] for k in STEM_SIZES if k < len(word) and word[:k] in self.stems]
+        if stems:
+            best = max(stems, key=self.stems.get)
+            return flags | LEXICON | STEM, best, self.stems[best]
+        return flags, "", 0.0
 
     @classmethod
     def learn(cls, texts: list[str], labels: list[int], most: int = 200) -> Lexicon:
-        """Words in many more toxic than other texts, by the log odds of holding them."""
-        toxic, other = Counter(), Counter()
-        for text, label in zip(texts, labels):
-            words = {EDGES.sub("", c).lower() for c in text.split()}
-            (toxic if label else other).update(w for w in words if len(w) > 2)
+        """Words and stems in many more toxic than other texts, by the log odds of holding them.
+
+        A stem is counted only if its own beginning is frequent in toxic texts, which bounds
+        what is kept.
+        """
         n_toxic = max(1, sum(labels))
         n_other = max(1, len(labels) - sum(labels))
-
-        def odds(word: str) -> float:
-            return math.log((toxic[word] + 0.5) / (n_toxic + 1) * (n_other + 1) / (other[word] + 0.5))
-
         least = max(5, 0.02 * n_toxic)
-        found = sorted((w for w, n in toxic.items() if n >= least and odds(w) > 3), key=odds)
-        return cls(frozenset(found[::-1][:most]))
+        vocabularies = [
+            ({w for c in text.split() if len(w := EDGES.sub("", c).lower()) > 2}, label)
+            for text, label in zip(texts, labels)]
+
+        def chosen(size: int | None, frequent: set[str]) -> tuple[dict[str, float], set[str]]:
+            """Words (no size) or stems of a size whose odds are high, and all frequent ones."""
+            def parts(words: set[str]) -> set[str]:
+                if size is None:
+                    return words
+                return {
+                    w[:size] for w in words
+                    if len(w) > size and (size == STEM_SIZES[0] or w[:size - 1] in frequent)}
+
+            toxic, other = Counter(), Counter()
+            for words, label in vocabularies:
+                if label:
+                    toxic.update(parts(words))
+            common = {w for w, n in toxic.items() if n >= least}
+            for words, label in vocabularies:
+                if not label:
+                    other.update(parts(words) & common)
+            odds = {
+                w: math.log((toxic[w] + 0.5) / (n_toxic + 1) * (n_other + 1) / (other[w] + 0.5))
+                for w in common}
+            return {w: o for w, o in odds.items() if o > LEAST_ODDS}, common
+
+        def best(found: dict[str, float]) -> dict[str, float]:
+            return dict(sorted(found.items(), key=lambda e: (-e[1], e[0]))[:most])
+
+        words, _ = chosen(None, set())
+        stems: dict[str, float] = {}
+        frequent: set[str] = set()
+        for size in STEM_SIZES:
+            more, frequent = chosen(size, frequent)
+            stems |= more
+        return cls(best(words), best(stems))
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
@@ -110,6 +150,8 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     marks = data[33:48].sum() + data[58:65].sum() + data[91:97].sum() + data[123:127].sum()
     return [
         len(hits) / n, math.log1p(len(hits)), len({kinds[i][1] for i in hits}),
+        max((kinds[i][2] for i in hits), default=0.0),
+        sum(bool(kinds[i][0] & STEM) for i in hits) / n,
         sum(bool(kinds[i][0] & DISGUISED) for i in hits) / n, len(second) / n, float(near),
         upper / max(1, upper + lower), sum(bool(k[0] & SHOUTED) for k in kinds) / n,
         data[33] / size, marks / size, digits / size,
@@ -154,6 +196,7 @@ def fit_toxicity(
     """A model fitted on a bounded sample of labelled documents that are not held out.
 
     Three quarters of the sample give the lexicon and the trees, one quarter the calibration.
+    The trees see each half of theirs as a lexicon of the other half measures it.
     Without both labels in the sample the score is a constant.
     """
     spark = docs.sparkSession
@@ -165,17 +208,21 @@ def fit_toxicity(
         share = sum(y for _, y in pairs) / len(pairs) if pairs else 0.0
         return ToxicityModel(lexicon, None, None, share)
 
-    def featured(part: list[tuple[str, int]]) -> DataFrame:
-        # Features of a bounded sample, in few partitions.
-        table_ = pa.table({
-            "label": pa.array([float(y) for _, y in part]),
-            **{c: pa.array(v) for c, v in zip(
-                FEATURES, np.array([features(t, lexicon) for t, _ in part]).T)}})
-        return spark.createDataFrame(table_.to_pandas()).coalesce(2)
+    def measured(part: list[tuple[str, int]], by: Lexicon) -> list[list[float]]:
+        return [[float(y), *features(t, by)] for t, y in part]
+
+    def frame(rows_: list[list[float]]) -> DataFrame:
+        # A bounded sample, in few partitions.
+        values = pd.DataFrame(np.array(rows_, np.float64), columns=["label", *FEATURES])
+        return spark.createDataFrame(values).coalesce(2)
 
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(featured(fit))
+    # Each half is measured by the lexicon of the other one, as its own would look too good.
+    halves = [fit[::2], fit[1::2]]
+    learned = [Lexicon.learn([t for t, _ in h], [y for _, y in h]) for h in halves]
+    crossed = measured(halves[0], learned[1]) + measured(halves[1], learned[0])
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(frame(crossed))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(assembled)
-    margins = _margins(trees, featured(rest)).select("label", "margin")
+    margins = _margins(trees, frame(measured(rest, lexicon))).select("label", "margin")
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins)
     return ToxicityModel(lexicon, trees, calibration)
 

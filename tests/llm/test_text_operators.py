@@ -16,7 +16,7 @@ from parcelhouse.llm.elias_fano import EliasFano, pack, unpack
 from parcelhouse.llm.packing import ChunkTokenizer, Packer, default_tokenizer
 from parcelhouse.llm.packing import pack as pack_documents
 from parcelhouse.llm.quality import Network, fit_quality, keep_good, score_quality
-from parcelhouse.llm.toxicity import fit_toxicity, score_toxicity
+from parcelhouse.llm.toxicity import LEXICON, STEM, Lexicon, fit_toxicity, score_toxicity
 from parcelhouse.llm.url_filters import judge_urls
 
 WORDS = [a + b + c for a in "btdkl" for b in "aeiou" for c in "nrs"]
@@ -326,3 +326,16 @@ def test_toxicity(documents, text_spark):
     assert len(found) == len(rows) + 3 and all(0 <= s <= 1 for s in found.values())
     right = [(found[i] >= 0.3) == (i % 3 == 0) for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum(right) > 0.95 * len(right)
+
+
+def test_lexicon_learns_stems():
+    """Inflected forms count by the stem they share, also forms that were never seen."""
+    endings = ["ing", "ed", "er", "ers", "ly", "ish", "ery", "ous", "ful", "ness"]
+    toxic = [f"such a grumb{e} thing {k}" for k, e in enumerate(endings * 2)]
+    clean = [f"such a fine thing {k}" for k in range(200)]
+    lexicon = Lexicon.learn(toxic + clean, [1] * len(toxic) + [0] * len(clean))
+    assert "grumb" in lexicon.stems and not any(w.startswith("grumb") for w in lexicon.words)
+    flags, stem, weight = lexicon.kind("Grumbable!")
+    assert flags & LEXICON and flags & STEM and stem.startswith("grum") and weight > 3
+    assert lexicon.kind("thing") == (0, "", 0.0)
+    assert Lexicon.learn([], []).kind("thing") == (0, "", 0.0)
