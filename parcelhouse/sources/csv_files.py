@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from parcelhouse.tables import TABLES, shaped
 
@@ -22,10 +23,22 @@ MISSING = (
 MOMENT = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 QUOTING = {"quote": '"', "escape": '"'}
 
+# A quote opens a text only where a field starts; anywhere else it is an ordinary character.
+# Inside a text two quotes stand for one. Possessive groups keep long texts off the stack.
+_TEXT = r'[^"]*+(?:""[^"]*+)*+'
+_FIELDS = rf'(?:(?:"{_TEXT}"[^,]*+|[^",][^,]*+|),)*+'
+OPENS_TEXT = rf'^\ufeff?+{_FIELDS}"{_TEXT}\z'
+KEEPS_TEXT_OPEN = rf'^{_TEXT}(?:\z|"[^,]*+,{_FIELDS}"{_TEXT}\z)'
+
+# A record this much longer than the splits it starts and ends in is an error: its quote was
+# never closed.
+MOST_RECORD_CHARACTERS = 256 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class CsvSpec:
-    """Where a raw table's file is, which headers to correct, and whether texts span lines."""
+    """Where a raw table's file is, which headers to correct, and whether texts are known to
+    span lines. In other tables this is looked up in the file."""
 
     pattern: str
     rename: dict[str, str] = field(default_factory=dict)
@@ -75,10 +88,21 @@ def raw_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     A column the file lacks is an error; one it has in addition is left out.
     """
     spec = CSV_FILES[name]
-    texts = (long_records if spec.multiline else plain_records)(spark, path)
+    long = spec.multiline or spans_lines(spark, path)
+    texts = (long_records if long else plain_records)(spark, path)
     return typed(texts.withColumnsRenamed(spec.rename), f"raw.{name}")
 
 
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether any quoted text may go on in the next line.
+
+    If no line opens a text without closing it, every line is a record. This reads the file
+    once more and stops at the first such line; putting lines together would shuffle it all.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return not lines.where(F.col("value").rlike(OPENS_TEXT)).isEmpty()
+
+
 def plain_records(spark: SparkSession, path: str) -> DataFrame:
     """One record per line, read in splits. A line that does not fit the header is an error."""
     schema = ", ".join(f"`{c}` string" for c in header(spark, path))
@@ -86,13 +110,18 @@ def plain_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).options(**options).csv(path)
 
 
-def long_records(spark: SparkSession, path: str) -> DataFrame:
+def long_records(
+    spark: SparkSession, path: str, most_characters: int = MOST_RECORD_CHARACTERS
+) -> DataFrame:
     """Records whose quoted texts may hold line breaks, still read in splits.
 
     Spark's own multiLine option gives a whole file to one task. Here lines are read in
-    splits as usual and put together again: a line starts a record if the number of quotes
-    before it in the file is even. Quotes are counted within each split, and the counts of
-    earlier splits are added, one row per split.
+    splits as usual and put together again: a line starts a record if no text is open before
+    it. What a line does to an open or closed text is known from the line alone, so each
+    split is gone through for both states it may begin in, and the true one follows from the
+    earlier splits, one row per split.
+
+    What follows the closing quote of a field up to the next comma is kept with its quotes.
     """
     columns = header(spark, path)
     lines = (
@@ -102,29 +131,43 @@ def long_records(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("line"),
+            F.col("value").rlike(OPENS_TEXT).cast("int").alias("after_0"),
+            F.col("value").rlike(KEEPS_TEXT_OPEN).cast("int").alias("after_1"),
         )
-        .withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'))))
     )
     # A split is at most spark.sql.files.maxPartitionBytes long, whatever the file size.
-    before = Window.partitionBy("file", "split").orderBy("line")
-    upto = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    odd = (F.sum("quotes").over(upto) - F.col("quotes")) % 2
-    local = lines.withColumn("odd", odd).withColumns({
-        # Records begun so far in this split, if it starts outside (0) or inside (1) quotes.
-        "begun_0": F.count_if(F.col("odd") == 0).over(upto),
-        "begun_1": F.count_if(F.col("odd") == 1).over(upto),
+    in_split = Window.partitionBy("file", "split").orderBy("line")
+    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = _open_before(lines, in_split).withColumns({
+        # Records begun so far in this split, if it starts outside (0) or inside (1) a text.
+        "begun_0": F.count_if(F.col("before_0") == 0).over(upto),
+        "begun_1": F.count_if(F.col("before_1") == 0).over(upto),
     })
+
+    def at_end(begin: int) -> Column:
+        after = F.when(F.col(f"before_{begin}") == 0, F.col("after_0")).otherwise(F.col("after_1"))
+        return F.max_by(after, "line").alias(f"after_{begin}")
+
     splits = local.groupBy("file", "split").agg(
-        (F.sum("quotes") % 2).alias("turns"),
+        at_end(0), at_end(1),
         F.max("begun_0").alias("all_0"), F.max("begun_1").alias("all_1"),
+        F.sum(F.length("value") + 1).alias("characters"),
     )
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2
+    in_file = Window.partitionBy("file").orderBy("split")
+    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = F.when(F.col("before_0") == 0, F.col("all_0")).otherwise(F.col("all_1"))
+    # Characters of the splits that lie wholly within the record open at their end.
+    last_start = F.last(F.when(F.col("begun") > 0, F.col("total")), ignorenulls=True).over(so_far)
+    whole = F.col("total") - F.coalesce(last_start, F.lit(0))
+    message = F.concat(F.lit("a quoted text is never closed: "), "file")
     starts = (
-        splits.withColumn("inside", state)
-        .withColumn("begun", F.when(F.col("inside") == 0, F.col("all_0")).otherwise(F.col("all_1")))
+        _open_before(splits, in_file)
+        .withColumns({"begun": begun, "total": F.sum("characters").over(so_far)})
         .withColumn("offset", F.coalesce(F.sum("begun").over(earlier), F.lit(0)))
-        .select("file", "split", "inside", "offset")
+        .withColumn("offset", F.when(whole > most_characters, F.raise_error(message))
+                    .otherwise(F.col("offset")))
+        .select("file", "split", F.col("before_0").alias("inside"), "offset")
     )
     here = F.when(F.col("inside") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
     numbered = local.join(starts, ["file", "split"]).withColumn("record", F.col("offset") + here)
@@ -146,6 +189,28 @@ def long_records(spark: SparkSession, path: str) -> DataFrame:
     return parsed.where(~is_header).select("r.*")
 
 
+def _open_before(parts: DataFrame, window: WindowSpec) -> DataFrame:
+    """Add before_0 and before_1: is a text open (1) before this part, if none is (0) or one
+    is (1) before the window's first part?
+
+    after_0 and after_1 say the same of the end of each part. A part where both agree settles
+    the state whatever came before; since then only the parts that turn it count.
+    """
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = F.when(F.col("after_0") > F.col("after_1"), 1).otherwise(0)
+    settled = F.when(F.col("after_0") == F.col("after_1"), (F.col("after_0") + F.col("turns")) % 2)
+    known = F.last("settled", ignorenulls=True).over(earlier)
+    turned = F.coalesce(F.lag("turns").over(window), F.lit(0))
+    return (
+        parts.withColumn("turns", F.sum(turn).over(upto)).withColumn("settled", settled)
+        .withColumns({
+            f"before_{begin}": (F.coalesce(known, F.lit(begin)) + turned) % 2 for begin in (0, 1)
+        })
+        .drop("turns", "settled")
+    )
+
+
 def _value(name: str, kind: str) -> Column:
     text = F.when(~F.col(name).isin(*MISSING), F.col(name))
     if kind == "timestamp_ntz":

@@ -3,12 +3,15 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pandas
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from parcelhouse.sources.csv_files import CsvTables, header, long_records, raw_table
+from parcelhouse.sources.csv_files import (
+    CsvTables, header, long_records, plain_records, raw_table, spans_lines,
+)
 
 REVIEW_HEADER = (
     "review_id,order_id,review_score,review_comment_title,review_comment_message,"
@@ -72,6 +75,57 @@ def test_records_across_splits(spark, tmp_path, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+AWKWARD = (
+    'id,text,more\n1,12" tv,x\n2,"a\nb, ""c""\n",5"\n3,,"\n"\n4,say "hi",""\n5,"",a "b" c"\n'
+    '6,"""",""\n7,"""\n""","one"\n8,6\' 2",end\n'
+)
+
+
+@pytest.mark.parametrize("split", ["7", "64", "1000"])
+def test_quotes_open_a_text_at_field_starts_only(spark, tmp_path, split):
+    path = write(tmp_path, "a.csv", AWKWARD + "".join(f'{i},{i}" x,"{i}\n"\n' for i in range(9, 80)))
+    expected = pandas.read_csv(path, dtype=str, keep_default_na=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {(r["id"], r["text"] or "", r["more"] or "") for r in long_records(spark, path).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == set(expected.itertuples(index=False, name=None))
+
+
+def test_line_breaks_in_other_tables(spark, tmp_path):
+    text = 'seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,"a\nb",SP\ns2,2,5" c,RJ\n'
+    path = write(tmp_path, "s.csv", text)
+    assert spans_lines(spark, path)
+    assert rows(raw_table(spark, "sellers", path), "seller_id", "seller_city") == {
+        ("s1", "a\nb"), ("s2", '5" c')}
+
+
+def test_stray_quotes_without_line_breaks_stay_plain(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'id,text\n1,12" tv\n2,"a ""b"""\n3,"x"\n')
+    assert not spans_lines(spark, path)
+    assert rows(plain_records(spark, path)) == {("1", '12" tv'), ("2", 'a "b"'), ("3", "x")}
+
+
+def test_quote_never_closed_is_an_error(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'id,text\n1,"open\n' + "2,line\n" * 500)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        with pytest.raises(PySparkException, match="never closed"):
+            long_records(spark, path, most_characters=1000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_very_long_line_of_quotes(spark, tmp_path):
+    body = 'ab""' * 300_000
+    path = write(tmp_path, "a.csv", f'id,text\n1,"{body}\nend"\n2,y\n')
+    got = dict(rows(long_records(spark, path)))
+    assert got["1"] == 'ab"' * 300_000 + "\nend" and got["2"] == "y"
+
+
 def test_several_files_each_with_header(spark, tmp_path):
     write(tmp_path, "part-1.csv", 'id,text\n1,"a\nb"\n')
     write(tmp_path, "part-2.csv", 'id,text\n2,"c"\n3,d\n')
