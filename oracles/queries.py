@@ -247,6 +247,131 @@ def _profile() -> str:
     )
 
 
+# What the faults planted in each table make of every critical check, written out by hand.
+PLANTED = """
+SELECT "check", split_part("check", '_', 1) AS stage, 'critical' AS level,
+ CAST(failing_rows AS BIGINT) AS failing_rows, 'FAIL' AS status FROM (
+SELECT 'raw_order_status_known' AS "check", count(*) AS failing_rows FROM raw_orders WHERE order_id LIKE '%7'
+UNION ALL SELECT 'raw_no_negative_money', (SELECT count(*) FROM raw_order_items WHERE order_item_id = 1)
+ + (SELECT count(*) FROM raw_order_payments WHERE payment_sequential = 3)
+UNION ALL SELECT 'raw_delivered_before_purchase', count(*) FROM raw_orders
+ WHERE order_id LIKE '%3' AND order_delivered_customer_date IS NOT NULL
+UNION ALL SELECT 'raw_review_answered_before_created', count(*) FROM raw_order_reviews WHERE review_score = 1
+UNION ALL SELECT 'staging_no_rows_lost', count(*) FROM raw_orders WHERE order_id LIKE '%5'
+UNION ALL SELECT 'staging_one_row_per_zip_prefix', count(DISTINCT geolocation_zip_code_prefix)
+ FROM raw_geolocation WHERE geolocation_zip_code_prefix < 100
+UNION ALL SELECT 'staging_item_total_is_price_plus_freight', count(*) FROM raw_order_items WHERE order_item_id = 2
+UNION ALL SELECT 'analytics_dim_date_has_no_gaps', count(*) FROM dim_date WHERE day(full_date) = 15
+ AND full_date <> (SELECT min(full_date) FROM dim_date) AND full_date <> (SELECT max(full_date) FROM dim_date)
+UNION ALL SELECT 'analytics_item_value_preserved', 1
+UNION ALL SELECT 'analytics_payment_value_preserved', 1
+UNION ALL SELECT 'analytics_every_order_reconciled', count(*) FROM raw_orders WHERE order_id LIKE '%9'
+UNION ALL SELECT 'marts_delivery_covers_every_order', count(*) FROM raw_orders WHERE order_id LIKE '%1'
+UNION ALL SELECT 'marts_category_value_preserved', 1
+UNION ALL SELECT 'marts_customers_cover_every_order', count(DISTINCT customer_unique_id) FROM raw_customers
+UNION ALL SELECT 'marts_payment_value_preserved', 1) AS found"""
+
+
+def _gates(sound: str) -> str:
+    """Both states of the tables: the sound ones stop no run, the broken ones stop every stage."""
+    broken = (
+        "SELECT s.stage, true AS stops, string_agg(\"check\", ', ' ORDER BY \"check\") AS failed_checks "
+        f"FROM ({PLANTED}) AS s GROUP BY s.stage")
+    names = f"SELECT stage, \"check\", status = 'warn' AS warns FROM ({sound}) AS c"
+    # Two faults also set off a warning: early deliveries, and ZIP prefixes without a point.
+    more = """
+SELECT 'raw' AS stage, 'raw_delivered_before_carrier' AS "check", count(*) > 0 AS warns FROM raw_orders
+ WHERE order_id LIKE '%3' AND order_delivered_customer_date IS NOT NULL AND order_delivered_carrier_date IS NOT NULL
+UNION ALL SELECT 'staging', 'staging_customers_without_coordinates', count(*) > 0 FROM raw_customers
+ WHERE customer_zip_code_prefix < 100"""
+    warned = "SELECT stage, count(DISTINCT \"check\") FILTER (WHERE warns) AS warnings FROM ({}) AS n GROUP BY stage"
+    return (
+        f"SELECT stage, false AS stops, '' AS failed_checks, warnings, 'built' AS \"tables\" "
+        f"FROM ({warned.format(names)}) AS w"
+        f"{UNION}SELECT stage, stops, failed_checks, warnings, 'broken' AS \"tables\" "
+        f"FROM ({broken}) AS b JOIN ({warned.format(names + UNION + more)}) AS v USING (stage)"
+    )
+
+
+# Primary keys by layer, written out from the tables' definitions.
+KEYS = """
+raw.customers: customer_id
+raw.sellers: seller_id
+raw.category_translation: product_category_name
+raw.products: product_id
+raw.geolocation: geolocation_id
+raw.orders: order_id
+raw.order_items: order_id, order_item_id
+raw.order_payments: order_id, payment_sequential
+raw.order_reviews: review_id, order_id
+staging.customers: customer_id
+staging.sellers: seller_id
+staging.geolocation: geolocation_zip_code_prefix
+staging.products: product_id
+staging.orders: order_id
+staging.order_items: order_id, order_item_id
+staging.order_payments: order_id, payment_sequential
+staging.order_reviews: review_id, order_id
+analytics.dim_date: date_key
+analytics.dim_geography: geolocation_zip_code_prefix
+analytics.dim_customer: customer_id
+analytics.dim_seller: seller_id
+analytics.dim_product: product_id
+analytics.fact_orders: order_id
+analytics.fact_order_items: order_id, order_item_id
+analytics.fact_payments: order_id, payment_sequential
+analytics.fact_reviews: review_id, order_id
+analytics.order_summary: order_id
+marts.delivery_performance: order_id
+marts.category_performance: category
+marts.customer_performance: customer_unique_id
+marts.payment_analysis: order_id
+"""
+# Foreign keys: child, column, parent.
+PARENTS = """
+raw.orders customer_id raw.customers
+raw.order_items order_id raw.orders
+raw.order_items product_id raw.products
+raw.order_items seller_id raw.sellers
+raw.order_payments order_id raw.orders
+raw.order_reviews order_id raw.orders
+staging.order_items order_id staging.orders
+staging.order_items product_id staging.products
+staging.order_items seller_id staging.sellers
+staging.order_payments order_id staging.orders
+staging.order_reviews order_id staging.orders
+analytics.fact_orders customer_id analytics.dim_customer
+analytics.fact_orders purchase_date_key analytics.dim_date
+analytics.fact_order_items order_id analytics.fact_orders
+analytics.fact_order_items product_id analytics.dim_product
+analytics.fact_order_items seller_id analytics.dim_seller
+analytics.fact_order_items purchase_date_key analytics.dim_date
+analytics.fact_payments order_id analytics.fact_orders
+analytics.fact_reviews order_id analytics.fact_orders
+analytics.fact_reviews review_creation_date_key analytics.dim_date
+"""
+
+
+def _planted_keys() -> str:
+    """Each key is there twice and once NULL; full_date, no part of a primary key, three times."""
+    parts = [
+        f"SELECT '{name}' AS \"table\", '{key}' AS \"key\", count(*) AS null_keys, "
+        f"count(*) AS duplicate_keys, count(*) AS surplus_rows FROM {BLOCK_OF[name]}"
+        for name, key in (line.split(": ") for line in KEYS.strip().splitlines())
+    ]
+    parts.append("SELECT 'analytics.dim_date', 'full_date', 0, count(*), 2 * count(*) FROM dim_date")
+    return UNION.join(parts)
+
+
+def _planted_orphans() -> str:
+    return UNION.join(
+        f"SELECT '{child}' AS \"table\", '{column}' AS \"columns\", '{parent}' AS parent, "
+        f"count(DISTINCT {column}) AS orphan_keys, count(*) AS orphan_rows FROM {BLOCK_OF[child]} "
+        f"WHERE regexp_matches(CAST({column} AS VARCHAR), '[13579]$')"
+        for child, column, parent in (line.split() for line in PARENTS.strip().splitlines())
+    )
+
+
 def _queries() -> dict[str, str]:
     late = "count(*) FILTER (WHERE delivered_late)"
     judged = "count(*) FILTER (WHERE delivered_late IS NOT NULL)"
@@ -274,6 +399,18 @@ SELECT * FROM (VALUES
   ('raw.products', 9, NULL), ('raw.category_translation', 2, NULL), ('raw.geolocation', 6, NULL),
   ('raw.orders', 8, NULL), ('raw.order_items', 7, NULL), ('raw.order_payments', 5, NULL),
   ('raw.order_reviews', 7, NULL)) AS v("table", declared, missing_column)"""
+    out["load_csv_stray_quotes"] = """
+SELECT * REPLACE (review_id || '" or "x' AS review_comment_title, order_id || '" tv' AS review_comment_message)
+FROM raw_order_reviews"""
+    # One text column of every source table.
+    out["load_csv_quoted_line_breaks"] = UNION.join(
+        f"SELECT '{table}' AS \"table\", {column} || chr(10) || '\"x\", y' AS text, count(*) AS \"rows\" "
+        f"FROM raw_{table} GROUP BY 2" for table, column in (
+            ("customers", "customer_city"), ("sellers", "seller_city"),
+            ("products", "product_category_name"), ("geolocation", "geolocation_city"),
+            ("category_translation", "product_category_name_english"),
+            ("orders", "order_status"), ("order_items", "seller_id"),
+            ("order_payments", "payment_type"), ("order_reviews", "review_comment_message")))
     out["load_csv_decimal_integers"] = out["load_csv_products"]
     out["load_csv_long_texts"] = """
 SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(source AS VARCHAR) AS order_id,
@@ -320,6 +457,16 @@ SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(source AS VARCHAR) AS order_id
     out["report_warnings"] = (
         f"SELECT \"check\", failing_rows FROM ({checks(*STAGES)}) AS all_checks "
         "WHERE status = 'warn' ORDER BY failing_rows DESC, \"check\"")
+    out["dq_planted_faults"] = PLANTED
+    out["gate_outcome"] = _gates(checks(*STAGES))
+    out["audit_planted_keys"] = _planted_keys()
+    out["audit_planted_orphans"] = _planted_orphans()
+    out["audit_planted_values"] = """
+SELECT 'raw.order_reviews' AS "table", 'review_score' AS "column", 'between 1 and 5' AS rule,
+ count(*) FILTER (WHERE review_score = 2) AS failing_rows FROM raw_order_reviews
+UNION ALL SELECT 'staging.order_reviews', 'review_score', 'between 1 and 5',
+ count(*) FILTER (WHERE review_score = 2) FROM stg_order_reviews
+UNION ALL SELECT 'meta.pipeline_runs', 'status', 'in (running, succeeded, failed)', 1"""
     out["audit_primary_keys"] = _primary_keys()
     out["audit_foreign_keys"] = _foreign_keys()
     out["audit_domains"] = _domains()
@@ -444,8 +591,8 @@ SELECT count(*) FILTER (WHERE delivery_vs_estimated_hours > 0 OR order_delivered
    AND order_delivered_customer_date::DATE = order_estimated_delivery_date::DATE) AS late_by_time_only
 FROM stg_orders"""
     out["report_fan_out"] = """
-SELECT CAST(t.v AS DECIMAL(28,2)) AS true_value, CAST(j.v AS DECIMAL(28,2)) AS joined_value,
- CAST(j.v - t.v AS DECIMAL(28,2)) AS overstated_by
+SELECT CAST(t.v AS DECIMAL(38,2)) AS true_value, CAST(j.v AS DECIMAL(38,2)) AS joined_value,
+ CAST(j.v - t.v AS DECIMAL(38,2)) AS overstated_by
 FROM (SELECT sum(item_total_value) AS v FROM fact_order_items) AS t,
  (SELECT sum(i.item_total_value) AS v FROM fact_order_items i JOIN raw_order_payments p ON p.order_id = i.order_id) AS j"""
     out["report_repeated_reviews_and_moves"] = figures(

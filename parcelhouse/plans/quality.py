@@ -215,6 +215,16 @@ def warnings_per_stage(checked: DataFrame) -> DataFrame:
     return checked.groupBy("stage").agg(F.count_if(F.col("status") == "warn").alias("warnings"))
 
 
+def outcome(checked: DataFrame) -> DataFrame:
+    """Per stage: would its gate stop the run, for which checks, and how many warnings."""
+    failed = F.when(F.col("status") == "FAIL", F.col("check"))
+    return checked.groupBy("stage").agg(
+        (F.count(failed) > 0).alias("stops"),
+        F.concat_ws(", ", F.array_sort(F.collect_list(failed))).alias("failed_checks"),
+        F.count_if(F.col("status") == "warn").alias("warnings"),
+    )
+
+
 def gate(tables: Tables, stage: str) -> int:
     """Run every check of a stage; raise if a critical one fails, else return the warnings.
 

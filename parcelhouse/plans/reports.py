@@ -262,14 +262,18 @@ def fan_out(fact_items: DataFrame, fact_payments: DataFrame) -> DataFrame:
     Each item would be repeated once per payment of its order, so the joined sum is the
     order's item value times its payments: no pair of rows is ever formed.
     """
-    items = fact_items.groupBy("order_id").agg(F.sum("item_total_value").alias("value"))
-    paid = fact_payments.groupBy("order_id").agg(rows().cast("decimal(14,0)").alias("payments"))
+    # Products of two large counts need all the digits there are.
+    value = F.sum("item_total_value").cast("decimal(25,2)")
+    items = fact_items.groupBy("order_id").agg(value.alias("value"))
+    paid = fact_payments.groupBy("order_id").agg(rows().cast("decimal(12,0)").alias("payments"))
     both = items.join(paid, "order_id", "left")
-    joined = F.sum(F.col("value") * F.coalesce("payments", F.lit(0)))
+    widest = "decimal(38,2)"
+    once = F.sum(F.col("value").cast(widest))
+    joined = F.sum((F.col("value") * F.coalesce("payments", F.lit(0))).cast(widest))
     return both.agg(
-        F.sum("value").cast(GRAND_TOTAL).alias("true_value"),
-        joined.cast(GRAND_TOTAL).alias("joined_value"),
-        (joined - F.sum("value")).cast(GRAND_TOTAL).alias("overstated_by"),
+        once.cast(widest).alias("true_value"),
+        joined.cast(widest).alias("joined_value"),
+        (joined - once).cast(widest).alias("overstated_by"),
     )
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from parcelhouse.operators.keys import key_problems, orphans
 from parcelhouse.operators.upsert import upsert
-from parcelhouse.plans import audits, dimensions, facts, marts, pipeline, profile, quality, reports
+from parcelhouse.plans import (
+    audits, dimensions, facts, marts, pipeline, planted, profile, quality, reports,
+)
 from parcelhouse.plans.warehouse import Warehouse
 from parcelhouse.session import scratch_dir, tuned
 from parcelhouse.sources.csv_files import CSV_FILES, CsvTables, write_csv
@@ -50,6 +52,18 @@ def stored(
     return build, root
 
 
+_BUILT: dict[tuple[str, str], tuple[pipeline.Build, str]] = {}
+
+
+def built(spark: SparkSession, folder: str) -> tuple[pipeline.Build, str]:
+    """The stored warehouse of a folder, built once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUILT:
+        _BUILT[key] = stored(spark, folder)
+    build, root = _BUILT[key]
+    return pipeline.Build(pipeline.Store(tuned(spark), root), build.constraints), root
+
+
 # Sources: the raw tables written as CSV, then loaded from there
 
 def _load_csv(name: str) -> Query:
@@ -106,6 +120,49 @@ def load_csv_long_texts(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.select("review_id", "order_id", "review_comment_title", "review_comment_message")
 
 
+@query
+def load_csv_stray_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that are not quoted but hold quotes, one or two of them."""
+    reviews = RawTables(tuned(spark), folder)["order_reviews"]
+    marked = reviews.withColumns({
+        "review_comment_title": F.concat("review_id", F.lit('" or "x')),
+        "review_comment_message": F.concat("order_id", F.lit('" tv')),
+    })
+    files = scratch_dir(spark, "csv")
+    (
+        marked.write.option("header", True).option("quote", "").option("escape", "\\")
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+        .csv(f"{files}/order_reviews_dataset.csv")
+    )
+    return CsvTables(spark, files)["order_reviews"]
+
+
+# A text column of every table: where line breaks are put, and what is counted afterwards.
+BROKEN_TEXTS = {
+    "customers": "customer_city", "sellers": "seller_city", "products": "product_category_name",
+    "category_translation": "product_category_name_english", "geolocation": "geolocation_city",
+    "orders": "order_status", "order_items": "seller_id", "order_payments": "payment_type",
+    "order_reviews": "review_comment_message",
+}
+
+
+@query
+def load_csv_quoted_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """A text of every table with a line break, a comma and quotes; rows per text."""
+    raw = RawTables(tuned(spark), folder)
+    tail = F.lit('\n"x", y')
+    marked = {
+        name: raw[name].withColumn(c, F.concat(c, tail)) for name, c in BROKEN_TEXTS.items()
+    }
+    loaded = CsvTables(spark, write_csv(marked, scratch_dir(spark, "csv")))
+    counted = [
+        loaded[name].groupBy(F.lit(name).alias("table"), F.col(c).alias("text"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        for name, c in BROKEN_TEXTS.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def raw_load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """All nine CSV files loaded and published together; rows per table."""
@@ -216,19 +273,43 @@ _upsert("analytics.fact_reviews", "review_score <= 3", {"review_score_category":
 
 # Checks and audits
 
+def _checked(stage: str) -> Query:
+    """As in a run, checks read the written tables."""
+    return lambda spark, folder: quality.report(built(spark, folder)[0].table, stage)
+
+
 for _stage in quality.STAGES:
-    from_warehouse(f"dq_{_stage}", lambda w, stage=_stage: quality.report(w.table, stage))
+    QUERIES[f"dq_{_stage}"] = _checked(_stage)
+
+
+@query
+def dq_planted_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Every critical check on tables that break it."""
+    build, _ = built(spark, folder)
+    checked = quality.report(planted.broken(build.table), *quality.STAGES)
+    return checked.where("level = 'critical'")
+
+
+@query
+def gate_outcome(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether each gate would stop the run, on tables as built and on broken ones."""
+    build, _ = built(spark, folder)
+    outcomes = [
+        quality.outcome(quality.report(tables, *quality.STAGES)).withColumn("tables", F.lit(label))
+        for label, tables in (("built", build.table), ("broken", planted.broken(build.table)))
+    ]
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 @query
 def dq_warnings_per_stage(spark: SparkSession, folder: str) -> DataFrame:
-    build, _ = stored(spark, folder)
+    build, _ = built(spark, folder)
     return quality.warnings_per_stage(quality.report(build.table, *quality.STAGES))
 
 
 @query
 def report_warnings(spark: SparkSession, folder: str) -> DataFrame:
-    build, _ = stored(spark, folder)
+    build, _ = built(spark, folder)
     return reports.warnings(quality.report(build.table, *quality.STAGES))
 
 
@@ -237,25 +318,25 @@ AUDITED = [name for name in TABLES if not name.startswith("meta.")]
 
 @query
 def audit_primary_keys(spark: SparkSession, folder: str) -> DataFrame:
-    build, _ = stored(spark, folder)
+    build, _ = built(spark, folder)
     return audits.primary_keys(build.table, AUDITED)
 
 
 @query
 def audit_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
-    build, _ = stored(spark, folder)
+    build, _ = built(spark, folder)
     return audits.foreign_keys(build.table, AUDITED)
 
 
 @query
 def audit_domains(spark: SparkSession, folder: str) -> DataFrame:
-    build, _ = stored(spark, folder)
+    build, _ = built(spark, folder)
     return audits.domains(build.table, AUDITED)
 
 
 @query
 def audit_value_checks(spark: SparkSession, folder: str) -> DataFrame:
-    build, root = stored(spark, folder)
+    build, root = built(spark, folder)
     log = RunLog(spark, root)
 
     def table(name: str) -> DataFrame:
@@ -264,6 +345,34 @@ def audit_value_checks(spark: SparkSession, folder: str) -> DataFrame:
     return audits.value_checks(table, TABLES)
 
 
+@query
+def audit_planted_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of tables that hold every row twice and once without its key."""
+    build, _ = built(spark, folder)
+    return audits.primary_keys(planted.with_repeated_keys(build.table), AUDITED)
+
+
+@query
+def audit_planted_orphans(spark: SparkSession, folder: str) -> DataFrame:
+    """Foreign keys whose parents with odd keys are gone."""
+    build, _ = built(spark, folder)
+    found = [
+        audits.foreign_keys(planted.without_odd_keys(build.table, name), [name])
+        for name in AUDITED if TABLES[name].parents
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def audit_planted_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Value rules on scores out of range and a run in an unknown state."""
+    build, root = built(spark, folder)
+    runs = RunLog(spark, root).runs()
+    tables = planted.with_wrong_values(
+        lambda name: runs if name.startswith("meta.") else build.table(name))
+    return audits.value_checks(tables, TABLES)
+
+
 @query
 def audit_line_number_as_key(spark: SparkSession, folder: str) -> DataFrame:
     """Order and line number do not identify a line: how often is the pair used again?"""
