@@ -169,3 +169,39 @@ def test_line_dedup(documents):
     assert {i: r["text"] for i, r in found.items()} == expected
     assert sum(r["removed_lines"] for r in found.values()) > 100
     assert found[100]["n_lines"] == 0
+
+
+def test_line_dedup_finds_whole_passages(documents):
+    """Passages of 1 to 5 lines and over 50 words, between neighbours that differ each time."""
+    rng = random.Random(9)
+
+    def line(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    def own():
+        return [line(rng.randrange(1, 20)) for _ in range(rng.randrange(1, 4))]
+
+    passages = [[line(60 // n + 1) for _ in range(n)] for n in (1, 2, 3, 4, 5) for _ in range(8)]
+    passages += [[line(70), "", line(3)], [line(3), line(70)], [line(1) for _ in range(51)],
+                 ["\u6f22" + "".join(chr(0x4e00 + rng.randrange(9000)) for _ in range(60))]]
+    rows, expected, first = [], {}, {}
+    for copy in range(3):
+        for passage in passages:
+            before, after, i = own(), own(), len(rows)
+            rows.append((i, "\n".join(before + passage + after)))
+            expected[i] = "\n".join(before + (passage if copy == 0 else []) + after)
+    # Twice in one text; runs of 50 words stay; lines that overlap their own first run stay.
+    twice, short, same = [line(30), line(30)], [line(50)], ["ha"] * 120
+    for text, left in (
+            (["a", *twice, "b", *twice, "c"], ["a", *twice, "b", "c"]),
+            (["d", *short, "e", *short, "f"], ["d", *short, "e", *short, "f"])):
+        expected[len(rows)] = "\n".join(left)
+        rows.append((len(rows), "\n".join(text)))
+    rows.append((len(rows), "\n".join(same)))
+    found = {r["doc_id"]: r for r in line_dedup(documents(rows)).collect()}
+    assert {i: found[i]["text"] for i in expected} == expected
+    assert 0 < len(found[len(rows) - 1]["text"].split()) <= 51
+    for i, text in rows:
+        lost = len(text.split("\n")) - len(found[i]["text"].split("\n"))
+        assert found[i]["removed_lines"] == lost
+        assert (found[i]["removed_chunks"] > 0) == (lost > 0)
