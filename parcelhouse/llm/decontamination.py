@@ -1,7 +1,8 @@
-"""Finds benchmark items in documents: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Finds benchmark items in documents: n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,6 @@ from parcelhouse.llm.common import id_and_text, table, written
 from parcelhouse.llm.exact_dedup import key_filter, may_hold
 
 SEED_WORDS = 4
-SEED_BLOCK = 4
 PART_WORDS = 256
 SLACK = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -76,32 +76,29 @@ def item_parts(benchmark: DataFrame, item_col: str, text_col: str, n: int) -> Da
 
 
 def gram_hits(docs: DataFrame, bits: bytes, n: int) -> DataFrame:
-    """id, key, gram, pos, first (in its document) of the documents' n-grams a filter lets pass."""
+    """id, key, gram and pos of the documents' n-grams a filter lets pass."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, grams, firsts = [], [], [], []
+            rows, places, grams = [], [], []
             texts = batch.column("text")
             for i in range(len(texts)):
                 found = gram_hashes(words(texts[i].as_py()), n)
                 at = np.flatnonzero(may_hold(bits, found))
                 if len(at):
-                    first = np.zeros(len(at), bool)
-                    first[np.unique(found[at], return_index=True)[1]] = True
                     rows.append(np.full(len(at), i))
                     places.append(at)
                     grams.append(found[at])
-                    firsts.append(first)
             take = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
             whole = [np.concatenate(x) if x else np.zeros(0, k) for x, k in (
-                (grams, np.int64), (places, np.int64), (firsts, bool))]
+                (grams, np.int64), (places, np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(take), batch.column("key").take(take), pa.array(whole[0]),
-                 pa.array(whole[1].astype(np.int32)), pa.array(whole[2])],
-                ["id", "key", "gram", "pos", "first"])
+                 pa.array(whole[1].astype(np.int32))],
+                ["id", "key", "gram", "pos"])
 
-    return docs.mapInArrow(run, f"id {id_type}, key long, gram long, pos int, first boolean")
+    return docs.mapInArrow(run, f"id {id_type}, key long, gram long, pos int")
 
 
 def _only(rows: DataFrame, bits: bytes) -> DataFrame:
@@ -143,10 +140,14 @@ def align(item: list, passage: list) -> tuple[int, int, int, int]:
     return score, matched, int(j), stop
 
 
-def best_alignment(item: list[bytes], text: list[bytes], diagonals: list[int]):
+def best_alignment(item: list[bytes], text: list[bytes], diagonals: list[int], least: float = 0):
     """The best alignment of an item near the diagonals its seeds lie on: score from 0 to 1,
-    matched words, start and stop among the words of the text."""
+    matched words, start and stop among the words of the text.
+
+    Passages that share too few words with the item to reach `least` matches are left out.
+    """
     best = (0.0, 0, 0, 0)
+    bag = Counter(item)
     diagonals = sorted(diagonals)
     at = 0
     while at < len(diagonals):
@@ -156,6 +157,8 @@ def best_alignment(item: list[bytes], text: list[bytes], diagonals: list[int]):
             at += 1
         start = max(0, low - SLACK)
         passage = text[start:high + len(item) + SLACK]
+        if (bag & Counter(passage)).total() < least:
+            continue
         score, matched, first, stop = align(item, passage)
         best = max(best, (score / (MATCH * len(item)), matched, start + first, start + stop))
     return best
@@ -168,9 +171,9 @@ def contaminated(
 ) -> DataFrame:
     """The documents that hold a benchmark item or an edited copy of it, and where.
 
-    Of every SEED_BLOCK neighbouring n-grams of an item the one found in the fewest documents
-    is a seed; counts cover all documents. Where a seed meets a document, the item is aligned
-    with the words around (match 2, mismatch and gap -1). The score is the alignment's share
+    Every n-gram of an item is a seed, however many documents hold it: other copies of the
+    item must not decide which of its n-grams an edited copy is looked for by. Where a seed
+    meets a document, the item is aligned with the words around (match 2, mismatch and gap -1). The score is the alignment's share
     of a perfect one; `least_score`, and `least_matched` words or the whole of a shorter
     item, make a document contaminated. Long items are tested in parts, documents whole.
 
@@ -187,18 +190,16 @@ def contaminated(
     bits = key_filter(items.select(F.col("gram").alias("key")))
     grams = items.select("gram").distinct()
     hits = written(gram_hits(rows, bits, n).join(grams, "gram", "left_semi"))
-    spread = hits.where("first").groupBy("gram").agg(F.count(F.lit(1)).alias("n_docs"))
-    block = F.expr(f"pos div {SEED_BLOCK}")
-    seeds = (
-        items.join(spread, "gram").groupBy("item", "part", "part_text", block.alias("block"))
-        .agg(F.min(F.struct("n_docs", "pos", "gram")).alias("seed"))
-        .select("item", "part", "part_text", F.col("seed.pos").alias("at"), F.col("seed.gram").alias("gram"))
-    )
+    seeds = items.select("item", "part", "part_text", F.col("pos").alias("at"), "gram")
     near = hits.join(seeds, "gram").select(
-        "id", "key", F.struct("item", "part", "part_text", (F.col("pos") - F.col("at")).alias("diagonal"))
-        .alias("place"))
-    # At most one place per word of a document and item that shares a seed there.
-    places = written(near.groupBy("id", "key").agg(F.collect_set("place").alias("places")))
+        "id", "key", "item", "part", "part_text", (F.col("pos") - F.col("at")).alias("diagonal"))
+    # At most one diagonal per word of a document and item that shares a seed there.
+    places = written(
+        near.groupBy("id", "key", "item", "part", "part_text")
+        .agg(F.collect_set("diagonal").alias("diagonals"))
+        .groupBy("id", "key")
+        .agg(F.collect_list(F.struct("item", "part", "part_text", "diagonals")).alias("places"))
+    )
     few = key_filter(places.select("key"))
     wanted = places.select(F.col("id").alias("__pc_id"), F.col("key").alias("__pc_key"), "places")
     texts = _only(rows.select("id", "text", "key"), few).join(
@@ -216,13 +217,11 @@ def contaminated(
                      pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
             for i in range(batch.num_rows):
                 text = words(batch.column("text")[i].as_py())
-                by_part: dict[tuple, list[int]] = {}
-                for p in batch.column("places")[i].as_py():
-                    by_part.setdefault((p["item"], p["part"], p["part_text"]), []).append(p["diagonal"])
                 best: dict = {}
-                for (item, _, part_text), diagonals in by_part.items():
-                    part = part_text.encode().split()
-                    found = best_alignment(part, text, diagonals)
+                for place in batch.column("places")[i].as_py():
+                    item, part = place["item"], place["part_text"].encode().split()
+                    least = max(least_score * len(part) - 1e-9, min(least_matched, len(part)))
+                    found = best_alignment(part, text, place["diagonals"], least)
                     enough = found[0] >= least_score and found[1] >= min(least_matched, len(part))
                     if enough and found > best.get(item, (0.0,)):
                         best[item] = found

@@ -190,6 +190,27 @@ def test_contaminated(documents, text_spark):
     assert contaminated(documents([]), benchmark).count() == 0
 
 
+def test_edited_copies_beside_others(documents, text_spark):
+    """A verbatim copy, or copies edited elsewhere, must not hide an edited copy."""
+    rng = random.Random(11)
+    items = [(k, " ".join(f"q{rng.randrange(10**6)}" for _ in range(39))) for k in range(6)]
+    rows, expected = [(i, prose(rng, 100)) for i in range(20)], set()
+    for k, text in items:
+        for copy in range(3):
+            edited = text.split()
+            if copy or k % 2:
+                # Every 7th word changed: score 0.8 or more.
+                edited[copy + 3::7] = ["changed"] * len(edited[copy + 3::7])
+            expected.add((len(rows), k))
+            rows.append((len(rows), f"{prose(rng, 30)} {' '.join(edited)} {prose(rng, 30)}"))
+    benchmark = text_spark.createDataFrame(items, "item_id long, text string")
+    found = contaminated(documents(rows), benchmark).collect()
+    assert {(r["id"], r["item"]) for r in found} == expected
+    assert min(r["score"] for r in found) > 0.75
+    left = without_contaminated(documents(rows), benchmark)
+    assert {r["doc_id"] for r in left.collect()} == set(range(20))
+
+
 # URL rules
 
 def test_url_rules(text_spark):
