@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,9 +44,24 @@ ENDINGS = {
     "cyrillic": {"f": "на ла ра лия ния".split(), "m": "н р л с рд".split(), "u": "и е".split(),
                  "surname": "нов рин лев сон".split()},
 }
-_NAME = r"[^\W\d_](?:[^\W\d_]|[’'-](?=[^\W\d_]))+"
+
+
+def _upper_class() -> str:
+    """All upper-case letters, as the inside of a character class."""
+    codes = [c for c in range(sys.maxunicode + 1) if chr(c).isupper() and chr(c).isalpha()]
+    starts = [c for c in codes if not (chr(c - 1).isupper() and chr(c - 1).isalpha())]
+    ends = [c for c in codes if not (chr(c + 1).isupper() and chr(c + 1).isalpha())]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
 _TITLES = "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True))
 _GIVENS = "|".join(sorted(map(re.escape, GENDERS), key=len, reverse=True))
+_UPPER = _upper_class()
+# A capitalised part of a name, or initials: J., J.R., or J before another part.
+_PART = (
+    rf"(?:(?!(?:{_TITLES})(?!\w))[{_UPPER}](?:[^\W\d_]|[’'-](?=[^\W\d_]))+(?!\w)"
+    rf"|[{_UPPER}](?:\.-?[{_UPPER}])*\.(?!\w)|[{_UPPER}](?= [{_UPPER}]))")
+_LINKS = r"(?:(?:von|van|vom|zu|zum|der|den|de|del|della|la|las|los|le|da|das|di|do|dos|du|el) ){0,3}"
 ENTITY = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d))"
@@ -53,8 +69,8 @@ ENTITY = re.compile(
     r"|(?P<card>(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
     r"|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w))"
-    rf"|(?P<person>(?<!\w)(?:(?P<title>{_TITLES})\.? (?P<titled>{_NAME}(?: {_NAME})?)"
-    rf"|(?P<given>{_GIVENS}) (?P<family>{_NAME}))(?!\w))")
+    rf"|(?P<person>(?<!\w)(?:(?P<title>(?:(?:{_TITLES})\.? )+)(?P<titled>{_LINKS}{_PART}(?: {_LINKS}{_PART})*)"
+    rf"|(?P<full>(?:{_GIVENS})(?: {_LINKS}{_PART})+)))")
 _HINT = re.compile(r"[0-9@]")
 _NAME_HINT = re.compile(rf"(?<!\w)(?:{_TITLES}|{_GIVENS})(?!\w)")
 
@@ -63,44 +79,70 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
-def _is_name(word: str) -> bool:
-    return word[:1].isupper()
+def _person(at: int, names: str, gender: str) -> Iterator[tuple[int, int, str, str]]:
+    """The parts of a name: given names, the last whole part as the surname, and initials."""
+    parts = []
+    for token in names.split(" "):
+        if token[:1].isupper():
+            core = token[:-2] if token[-2:] in ("'s", "’s") else token
+            parts.append((at, core, "." in core or len(core) == 1))
+        at += len(token) + 1
+    surname = max((start for start, _, initial in parts if not initial), default=-1)
+    for start, core, initial in parts:
+        value = core.lower()
+        if initial:
+            kind = "initial"
+        elif start == surname:
+            kind = "surname"
+        else:
+            kind = f"given_{GENDERS.get(core, gender)}"
+        yield start, start + len(core), kind, value
 
 
-def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
+def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """Start, stop, kind and canonical form of each detected entity, in text order.
 
     Names are taken apart, so that a person mentioned by title and family name refers to
-    the same surrogate as by the full name.
+    the same surrogate as by the full name. Where a name was detected, its parts are also
+    entities where they stand alone in the same text, capitalised. The gender in the kind of a
+    given name is what this mention tells.
     """
     if not (_HINT.search(text) or _NAME_HINT.search(text)):
-        return
+        return []
+    out: list[tuple[int, int, str, str]] = []
+    names: dict[str, str] = {}
     for m in ENTITY.finditer(text):
         kind = m.lastgroup if m.lastgroup in ("email", "ip", "secret", "card", "phone") else "person"
-        if kind == "email":
-            yield m.start(), m.end(), kind, m[0].lower()
+        if kind == "email" or kind == "secret":
+            out.append((m.start(), m.end(), kind, m[0].lower()))
         elif kind == "ip":
-            yield m.start(), m.end(), kind, m[0]
-        elif kind == "secret":
-            yield m.start(), m.end(), kind, m[0].lower()
+            out.append((m.start(), m.end(), kind, m[0]))
         elif kind in ("card", "phone"):
-            yield m.start(), m.end(), kind, _digits(m[0])
-        elif m["title"]:
-            at = m.start("titled")
-            parts = [p for p in m["titled"].split(" ")]
-            if not _is_name(parts[0]):
-                continue
-            if len(parts) == 2 and not _is_name(parts[1]):
-                parts = parts[:1]
-            for k, part in enumerate(parts):
-                gender = GENDERS.get(part, TITLES[m["title"]])
-                kind = f"given_{gender}" if k < len(parts) - 1 else "surname"
-                yield at, at + len(part), kind, part.lower()
-                at += len(part) + 1
-        elif _is_name(m["family"]):
-            yield (m.start("given"), m.end("given"), f"given_{GENDERS[m['given']]}",
-                   m["given"].lower())
-            yield m.start("family"), m.end("family"), "surname", m["family"].lower()
+            out.append((m.start(), m.end(), kind, _digits(m[0])))
+        else:
+            if m["title"]:
+                told = [TITLES[t.rstrip(".")] for t in m["title"].split()]
+                gender = next((g for g in told if g != "u"), "u")
+                found = list(_person(m.start("titled"), m["titled"], gender))
+            else:
+                gender = GENDERS[m["full"].split(" ")[0]]
+                found = list(_person(m.start("full"), m["full"], gender))
+            out += found
+            for _, _, part, value in found:
+                if part != "initial":
+                    names.setdefault(value, part)
+    if not names:
+        return out
+    bare = re.compile(
+        rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(names, key=len, reverse=True)))})(?!\w)", re.I)
+    spans, alone, at = list(out), [], 0
+    for m in bare.finditer(text):
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        value = m[0].lower()
+        if m[0][0].isupper() and value in names and (at == len(spans) or spans[at][0] >= m.end()):
+            alone.append((m.start(), m.end(), names[value], value))
+    return sorted(out + alone) if alone else out
 
 
 class _Stream:
@@ -170,6 +212,11 @@ def draw(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         keep = 1 if len(value) > 10 else 0
         return value[:keep] + str(2 + stream.below(8)) + "".join(
             str(stream.below(10)) for _ in value[keep + 1:])
+    if kind == "initial":
+        return "".join(
+            chr(ord("а") + (ord(c) - ord("а") + 1 + stream.below(31)) % 32) if "а" <= c <= "я"
+            else chr(ord("a") + (ord(c) - ord("a") + 1 + stream.below(25)) % 26) if c.isalpha() else c
+            for c in value)
     script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in value) else "latin"
     ending = ENDINGS[script]["surname" if kind == "surname" else kind[-1]]
     # Rising lengths, so that there is always another name to draw.
@@ -193,12 +240,18 @@ def written_like(surrogate: str, kind: str, mention: str) -> str:
     return surrogate
 
 
-def pseudonymised(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
-    """The text with a surrogate for every mention, and how many were replaced."""
+def pseudonymised(
+    text: str, key: bytes, special: dict[tuple[str, str], tuple[str, int]]
+) -> tuple[str, int]:
+    """The text with a surrogate for every mention, and how many were replaced.
+
+    `special` holds the kind and attempt to draw by where these are not the mention's kind and 0.
+    """
     out, at, n = [], 0, 0
     cached = _cached_draw
     for start, stop, kind, value in mentions(text):
-        surrogate = cached(key, kind, value, attempts.get((kind, value), 0))
+        drawn, attempt = special.get((kind, value), (kind, 0))
+        surrogate = cached(key, drawn, value, attempt)
         out += [text[at:start], written_like(surrogate, kind, text[start:stop])]
         at, n = stop, n + 1
     return ("".join(out) + text[at:], n) if n else (text, 0)
@@ -268,16 +321,42 @@ def redrawn(found: DataFrame, key: bytes) -> DataFrame:
     return current.where("attempt > 0").select("kind", "value", "attempt")
 
 
+def resolved(found: DataFrame, key: bytes) -> DataFrame:
+    """kind, value, drawn (the kind to draw by) and attempt of the entities that need more than
+    a first draw by their kind.
+
+    A given name has one gender: the one its mentions in all texts tell, or none if they tell
+    both. Initials are too few to differ from one another and are drawn once.
+    """
+    whole = found.where("kind != 'initial'")
+    given = F.col("kind").startswith("given_")
+    female, male = (F.max(F.col("kind") == f"given_{g}") for g in "fm")
+    genders = written(
+        whole.where(given).groupBy("value").agg(
+            F.when(female & ~male, "given_f").when(male & ~female, "given_m")
+            .otherwise("given_u").alias("drawn")))
+    kinds = written(
+        whole.where(given).join(genders, "value").select("kind", "value", "drawn")
+        .unionByName(whole.where(~given).select("kind", "value", F.col("kind").alias("drawn"))))
+    again = redrawn(kinds.select(F.col("drawn").alias("kind"), "value").distinct(), key)
+    again = again.withColumnRenamed("kind", "drawn")
+    return (
+        kinds.join(again, ["drawn", "value"], "left").na.fill(0, ["attempt"])
+        .where("kind != drawn or attempt > 0").select("kind", "value", "drawn", "attempt")
+    )
+
+
 def pseudonymise(
     docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents with personal data replaced, and n_replaced.
 
     E-mail and IP addresses, card and phone numbers, secrets (long hexadecimal strings) and
-    names of persons (after a title or a common given name) become surrogates that depend on
-    the entity and the secret `key` only: the same entity has the same one everywhere. They
-    keep gender, script, case, separators, lengths of numbers and the validity of check digits.
-    Different entities have different surrogates, and none is an entity of the texts: all
+    names of persons (after a title or a common given name, with all their capitalised parts and
+    initials, and these parts where they stand alone in the same text) become surrogates that
+    depend on the entity, the gender of a given name and the secret `key` only: the same entity
+    has the same one everywhere. They keep gender, script, case, separators, lengths of numbers and the validity of check digits.
+    Different entities, initials apart, have different surrogates, and none is an entity of the texts: all
     surrogates are compared, and where two collide one is drawn again.
 
     Only different entities are shuffled, and the few documents with a redrawn one, never the
@@ -286,7 +365,7 @@ def pseudonymise(
     empty one.
     """
     rows = id_and_text(docs, id_col, text_col)
-    again = written(redrawn(written(entities(rows)), key))
+    again = written(resolved(written(entities(rows)), key))
     names = [c for c in docs.columns if c != "n_replaced"]
     keyed = docs.select(*names, F.xxhash64(docs[text_col]).alias("__pc_text_key"))
 
@@ -299,8 +378,8 @@ def pseudonymise(
                 special = batch.column("__pc_again").to_pylist()
                 new, counts = [], []
                 for text, entries in zip(texts, special):
-                    attempts = {(e["kind"], e["value"]): e["attempt"] for e in entries or ()}
-                    done = (None, 0) if text is None else pseudonymised(text, key, attempts)
+                    drawn = {(e["kind"], e["value"]): (e["drawn"], e["attempt"]) for e in entries or ()}
+                    done = (None, 0) if text is None else pseudonymised(text, key, drawn)
                     new.append(done[0])
                     counts.append(done[1])
                 arrays = [
@@ -311,7 +390,7 @@ def pseudonymise(
 
         return frame.mapInArrow(run, schema)
 
-    kind = "array<struct<kind:string,value:string,attempt:int>>"
+    kind = "array<struct<kind:string,value:string,drawn:string,attempt:int>>"
     if again.isEmpty():
         return rewritten(keyed.withColumn("__pc_again", F.lit(None).cast(kind)))
 
@@ -329,7 +408,7 @@ def pseudonymise(
         rows.select(F.xxhash64("text").alias("key"), "text")
         .mapInArrow(with_entities, "key long, kind string, value string").distinct()
         .join(again, ["kind", "value"])
-        .groupBy("key").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__pc_again"))
+        .groupBy("key").agg(F.collect_list(F.struct("kind", "value", "drawn", "attempt")).alias("__pc_again"))
     )
     holders = written(holders)
     bits = key_filter(holders.select("key"))

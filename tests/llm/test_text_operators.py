@@ -279,6 +279,33 @@ def test_collisions_are_drawn_again(documents, monkeypatch, text_spark):
     assert len(again) == 3 and all(r["attempt"] >= 1 for r in again)
 
 
+def test_whole_names_and_later_mentions(documents):
+    rows = [
+        (1, "Dr. Anna Maria Schmidt met John Paul Jones. Schmidt spoke, then JONES; Schmidt's turn, Maria."),
+        (2, "Mr J. Smith and Mr J. R. Miller, Frau Dr. Weber, Herr Klaus von der Linden, Prof Ada Q Noether."),
+        (3, "Dr Robin Marsh"), (4, "Mr Robin Marsh"), (5, "Dr Kim Stone"), (6, "Mr Kim Stone"),
+        (7, "Mrs Kim Stone"), (8, "Stone and Robin are words here, jones@a.example.org too"),
+        (9, "Mr Smith left. He was no smith; see smith@mail.example.net, Smith."),
+    ]
+    out = {r["doc_id"]: r for r in pii.pseudonymise(documents(rows), b"key").collect()}
+    joined = " ".join(out[i]["text"] for i in (1, 2, 3, 4, 5, 6, 7))
+    for private in ("Anna", "Maria", "Schmidt", "John", "Paul", "Jones", "JONES", "J.", "Smith", "Miller",
+                    "Weber", "Klaus", "Linden", "Ada", " Q ", "Noether", "Robin", "Marsh", "Kim", "Stone"):
+        assert not re.search(rf"(?<!\w){re.escape(private)}", joined), private
+    m = re.fullmatch(
+        r"Dr\. \w+ (\w+) (\w+) met \w+ \w+ (\w+)\. (\w+) spoke, then (\w+); (\w+)'s turn, (\w+)\.",
+        out[1]["text"])
+    assert m and m[2] == m[4] == m[6] and m[3].upper() == m[5] and m[1] == m[7]
+    assert re.fullmatch(
+        r"Mr [A-Z]\. \w+ and Mr [A-Z]\. [A-Z]\. \w+, Frau Dr\. \w+, Herr \w+ von der \w+, "
+        r"Prof \w+ [A-Z] \w+\.", out[2]["text"])
+    assert out[3]["text"].split()[1:] == out[4]["text"].split()[1:]
+    assert len({tuple(out[i]["text"].split()[1:]) for i in (5, 6, 7)}) == 1
+    assert out[8]["text"].startswith("Stone and Robin are words here")
+    nine = re.fullmatch(r"Mr (\w+) left\. He was no smith; see (\S+), (\w+)\.", out[9]["text"])
+    assert nine and nine[1] == nine[3] != "Smith" and "smith" not in nine[2]
+
+
 # Classifiers
 
 def labelled(documents, text_spark, make):
