@@ -42,8 +42,3 @@ def small():
     if not os.path.isdir(SMALL):
         pytest.skip("no test data")
     return SMALL
-
-
-def rows(df, *columns):
-    """The rows as a set of tuples, of some columns or all."""
-    return {tuple(r) for r in (df.select(*columns) if columns else df).collect()}

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.plans import audits
 
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.functions.columns import day_key, quotient, ratio
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.sources.csv_files import (
     CsvTables, header, long_records, plain_records, raw_table, spans_lines,
 )

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.plans import dimensions, facts
 
 

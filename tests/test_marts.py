@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.plans import marts, reports
 
 

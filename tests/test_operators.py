@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.operators.numbering import number_within, oversized_groups
 from parcelhouse.operators.upsert import upsert
 from parcelhouse.plans.facts import order_items

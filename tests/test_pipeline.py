@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from parcelhouse.plans import pipeline
 from parcelhouse.session import scratch_dir
 from parcelhouse.sources.csv_files import CsvTables, write_csv
