@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from parcelhouse.llm.cross_tokenizer import op11_cross_tokenizer
 from parcelhouse.llm.decontamination import op3_decontamination
 from parcelhouse.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from parcelhouse.llm.hard_negatives import OP12_SQL, op12_hard_negatives
@@ -20,6 +21,6 @@ QUERIES = {
     for q in (
         op1_line_dedup, op2_pii, op3_decontamination, op4_exact_dedup, op5_lm_scoring, op6_simhash,
         op7_url_filters, op8_quality, op9_packing, op10_toxicity,
-        op12_hard_negatives, op13_sharding)
+        op11_cross_tokenizer, op12_hard_negatives, op13_sharding)
 }
 ORACLE_SQL = {"op4_exact_dedup": OP4_SQL, "op7_url_filters": OP7_SQL, "op12_hard_negatives": OP12_SQL}
