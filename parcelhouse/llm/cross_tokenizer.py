@@ -9,6 +9,7 @@ links. The postings then return the corpus-wide counts of each pair to the docum
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -25,6 +26,9 @@ LINKS_PER_BLOCK = 1_000_000
 DOCS_PER_BLOCK = 1 << 14
 TEXTS_AT_ONCE = 1 << 20
 B_IDS = 1 << 20
+# Fixed value: how byte-level vocabularies of this kind split a text before they merge bytes.
+BYTE_LEVEL_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # A plane that holds more than one document in so many is kept as bits.
 DENSE_SHARE = 16
 
@@ -35,6 +39,36 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _rank_encoder(tokenizer, bytes_of: list[bytes]):
+    """A faster encoder of the same vocabulary, or None where it might give other ids.
+
+    It joins the neighbours whose joined bytes have the smallest id. That is the order of the
+    merges if they are listed by the id they give. Nor does it matter that it asks for joined
+    bytes instead of a listed pair: as long as nothing is joined across the ends of a token's
+    bytes, they go the way they go alone, which ends with the listed pair.
+    """
+    import tiktoken
+
+    spec = json.loads(tokenizer.to_str())
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    plain = (
+        model["type"] == "BPE" and not spec["normalizer"] and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True) and not split["add_prefix_space"]
+        and not any(model.get(k) for k in (
+            "dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    )
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    if not plain:
+        return None
+    made = [model["vocab"]["".join(m)] for m in merges]
+    single = {i for i, data in enumerate(bytes_of) if len(data) == 1}
+    if len(single) != 256 or made != sorted(made) or made[:1] < [max(single)]:
+        return None
+    ranks = {bytes_of[i]: i for i in (*single, *made)}
+    return tiktoken.Encoding(
+        "ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Token ids of two tokenizers and the bytes of every id."""
 
@@ -47,6 +81,7 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = self._bytes_of_a()
+        self.ranks = _rank_encoder(self.a, self.bytes_a)
         self.bytes_b = [self._bytes_of_b(i) for i in range(self.b.get_piece_size())]
         if len(self.bytes_b) > B_IDS:
             raise ValueError(f"the second tokenizer has more than {B_IDS} ids")
@@ -76,7 +111,11 @@ class Aligner:
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text by both; none where either does not give back space + text."""
         spaced = [" " + t for t in texts]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        if self.ranks:
+            ids_a = [self.ranks.encode_ordinary(t) for t in spaced]
+        else:
+            encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
+            ids_a = [e.ids for e in encoded]
         ids_b = self.b.encode(texts, num_threads=1)
         for k, text in enumerate(texts):
             whole = spaced[k].encode()
@@ -92,21 +131,20 @@ class Aligner:
         and the next lies exactly one overlapping pair: one link per different end.
         """
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        shared = np.intersect1d(end_a, end_b, assume_unique=True)
-        ends = np.union1d(end_a, end_b)
-        pairs = a[np.searchsorted(end_a, ends)] * B_IDS + b[np.searchsorted(end_b, ends)]
-        group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
-        last_a = np.diff(group_a, append=-1) != 0
-        last_b = np.diff(group_b, append=-1) != 0
+        over_a, over_b = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+        last_a, last_b = end_b[over_a] == end_a, end_a[over_b] == end_b
+        alone = ~last_b
+        pairs = np.concatenate([a * B_IDS + b[over_a], a[over_b[alone]] * B_IDS + b[alone]])
         # The A ids of a group come after all B ids of earlier groups, and so on.
-        before_a = np.concatenate([[0], np.cumsum(np.bincount(group_a, minlength=len(shared)))])
-        before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=len(shared)))])
+        first_a = np.concatenate([[0], np.flatnonzero(last_a) + 1])
+        first_b = np.concatenate([[0], np.flatnonzero(last_b) + 1])
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         place = np.empty(len(a) + len(b), np.int64)
-        place[np.arange(len(a)) + before_b[group_a]] = 2 * a + last_a
-        place[np.arange(len(b)) + before_a[group_b + 1]] = -1 - (2 * b + last_b)
+        place[np.arange(len(a)) + first_b[group_a]] = 2 * a + last_a
+        place[np.arange(len(b)) + first_a[group_b + 1]] = -1 - (2 * b + last_b)
         shown_a, shown_b = self.shown_a, self.shown_b
         text = "".join([shown_a[x] if x >= 0 else shown_b[-1 - x] for x in place.tolist()])
-        return pairs, len(shared), text[:-1]
+        return pairs, len(first_a) - 1, text[:-1]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}

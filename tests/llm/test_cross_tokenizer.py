@@ -128,6 +128,19 @@ def test_no_documents_and_only_empty_ones(documents):
     assert sorted(tuple(r) for r in found) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_rank_encoder_gives_the_tokenizers_ids():
+    """On every character between letters, digits, marks and spaces, and on random strings."""
+    both = cross_tokenizer.aligner(*default_tokenizers())
+    assert both.ranks is not None
+    characters = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c} {c}1{c}.{c}\n{c}{c}" for c in characters]
+    rng = np.random.default_rng(5)
+    marks = [" ", "  ", "\n", "\t", "\r\n", "'s", "'LL", "1", ".", "é", "ß", "ж", "の", "👍", "\u0301", "ab", "the", "ing"]
+    texts += ["".join(rng.choice(marks, rng.integers(1, 60))) for _ in range(20_000)]
+    encoded = both.a.encode_batch(texts, add_special_tokens=False)
+    assert all(both.ranks.encode_ordinary(t) == e.ids for t, e in zip(texts, encoded))
+
+
 @pytest.mark.parametrize("docs", [1, 5, 40, 300])
 def test_postings_round_trip(docs):
     rng = np.random.default_rng(docs)
