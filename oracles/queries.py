@@ -488,6 +488,38 @@ WHERE order_status <> 'delivered' GROUP BY order_id"""
         f"CAST({loaded} AS BIGINT) AS rows_loaded, CAST((SELECT count(*) FROM ({checks(*STAGES)}) AS a "
         "WHERE status = 'warn') AS INTEGER) AS warnings")
     out["rerun_row_counts"] = _row_counts(BLOCK_OF)
+    out["rerun_digests"] = (
+        'SELECT "table", "rows" AS rows_before, "rows" AS rows_after, true AS same_rows '
+        f"FROM ({_row_counts(BLOCK_OF)}) AS counted")
+    out["version_history"] = (
+        'SELECT "table", CAST(3 AS BIGINT) AS versions, CAST(2 AS BIGINT) AS versions_kept, '
+        'CAST("rows" AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS missing_files, '
+        f"CAST(0 AS BIGINT) AS unreachable_folders FROM ({_row_counts(BLOCK_OF)}) AS counted")
+    warned = f"(SELECT count(*) FROM ({checks(*STAGES)}) AS a WHERE status = 'warn')"
+    out["run_log_states"] = UNION.join(
+        f"SELECT CAST({run} AS BIGINT) AS run_id, {status} AS status, {step} AS failed_step, "
+        f"{error} AS error_message, CAST({rows} AS BIGINT) AS rows_loaded, "
+        f"CAST({warnings} AS INTEGER) AS warnings, {finished} AS finished"
+        for run, status, step, error, rows, warnings, finished in (
+            (1, "'succeeded'", "NULL", "NULL", loaded, warned, "true"),
+            (2, "'failed'", "'Check raw'",
+             "'1 critical check(s) failed: raw_order_status_known'", loaded, 0, "true"),
+            (3, "'failed'", "'Taken over'", "'taken over by run 4'", "NULL", "NULL", "true"),
+            (4, "'succeeded'", "NULL", "NULL", loaded, warned, "true"),
+            (5, "'running'", "NULL", "NULL", "NULL", "NULL", "false"),
+        ))
+    out["merge_linked_months"] = UNION.join(
+        f"""SELECT 'analytics.{fact}' AS "table", CAST(count(DISTINCT m) AS INTEGER) AS months,
+ CAST(count(DISTINCT m) - count(DISTINCT m) FILTER (WHERE comes) AS INTEGER) AS linked_months,
+ ifnull(string_agg(DISTINCT CAST(m AS VARCHAR), ', ' ORDER BY CAST(m AS VARCHAR)) FILTER (WHERE comes), '')
+  AS written_months, count(*) AS "rows"
+FROM (SELECT m, m = 199603 OR (m = 199702 AND regexp_matches(order_id, '[13579]$')) AS comes
+      FROM (SELECT order_id, year(order_purchase_timestamp) * 100 + month(order_purchase_timestamp) AS m
+            FROM {source} JOIN raw_orders USING (order_id)) AS dated) AS marked"""
+        for fact, source in {
+            "fact_orders": "(SELECT order_id FROM raw_orders) AS o",
+            "fact_order_items": "raw_order_items", "fact_payments": "raw_order_payments",
+            "fact_reviews": "raw_order_reviews"}.items())
 
     # report figures
     out["report_late_rate"] = f"""

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def not_replaced(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
+    """The existing rows whose key does not come in again."""
+    return existing.join(incoming.select(*key), key, "left_anti").select(*existing.columns)
+
+
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: list[str]) -> DataFrame:
     """Incoming rows, plus the existing rows whose key does not come in again.
 
@@ -13,5 +18,4 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, key: list[str]) -> D
     """
     if existing is None:
         return incoming
-    kept = existing.join(incoming.select(*key), key, "left_anti")
-    return kept.select(*incoming.columns).unionByName(incoming)
+    return not_replaced(existing, incoming, key).select(*incoming.columns).unionByName(incoming)

@@ -36,14 +36,17 @@ def primary_keys(tables: Tables, names: Iterable[str]) -> DataFrame:
     return _all(audited)
 
 
-def foreign_keys(tables: Tables, names: Iterable[str]) -> DataFrame:
+def foreign_keys(
+    tables: Tables, names: Iterable[str], parents: Tables | None = None
+) -> DataFrame:
     """Per declared foreign key: keys without a parent and the rows that hold them."""
+    parents = parents or tables
     audited = []
     for name in names:
         for parent in TABLES[name].parents:
             lost = orphans(
                 tables(name), list(parent.columns),
-                tables(parent.table), list(parent.table_columns),
+                parents(parent.table), list(parent.table_columns),
             )
             audited.append(lost.agg(
                 F.lit(name).alias("table"),
@@ -130,19 +133,19 @@ def domain_measures(name: str) -> dict[str, Column]:
 
 
 def enforce(
-    tables: Tables, names: list[str], outside: dict[str, int], at_once: int = 8
+    arrived: Tables, tables: Tables, names: list[str], outside: dict[str, int], at_once: int = 8
 ) -> None:
-    """Raise IntegrityError if any of the tables breaks a declared rule.
+    """Raise IntegrityError if the rows that arrive in any of the tables break a declared rule.
 
-    `outside` holds what the domain rules counted. Keys and foreign keys are audited side
+    `outside` holds what the domain rules counted. Parents are looked up in whole tables. Keys and foreign keys are audited side
     by side as small jobs of their own; only broken ones reach the driver.
     """
     def bad_keys(name: str) -> list[str]:
-        found = primary_keys(tables, [name]).where("null_keys + duplicate_keys > 0").collect()
+        found = primary_keys(arrived, [name]).where("null_keys + duplicate_keys > 0").collect()
         return [f"{name} ({r['key']})" for r in found]
 
     def bad_parents(name: str) -> list[str]:
-        found = foreign_keys(tables, [name]).where("orphan_keys > 0").collect()
+        found = foreign_keys(arrived, [name], tables).where("orphan_keys > 0").collect()
         return [f"{name} ({r['columns']}) -> {r['parent']}" for r in found]
 
     with ThreadPoolExecutor(at_once) as pool:

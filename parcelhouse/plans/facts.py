@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.functions.columns import TOTAL, day_key, rows
 from parcelhouse.functions.labels import reconciliation_status
-from parcelhouse.tables import shaped
+from parcelhouse.tables import PURCHASE_MONTH, shaped
 
 
 def orders(staged_orders: DataFrame) -> DataFrame:
@@ -40,6 +40,19 @@ def reviews(staged_reviews: DataFrame) -> DataFrame:
     return shaped(keyed, "analytics.fact_reviews")
 
 
+def by_month(fact: DataFrame, staged_orders: DataFrame) -> DataFrame:
+    """A fact with the month of its order, by which it is stored; 0 if the order is unknown.
+
+    The month is read off the purchase day where the fact has one, else looked up by order.
+    """
+    if "purchase_date_key" in fact.columns:
+        return fact.withColumn(PURCHASE_MONTH, F.expr("CAST(purchase_date_key DIV 100 AS INT)"))
+    bought = F.col("order_purchase_timestamp")
+    months = staged_orders.select(
+        "order_id", (F.year(bought) * 100 + F.month(bought)).alias(PURCHASE_MONTH))
+    return fact.join(months, "order_id", "left").fillna(0, [PURCHASE_MONTH])
+
+
 def items_per_order(fact_items: DataFrame) -> DataFrame:
     return fact_items.groupBy("order_id").agg(
         rows().alias("item_count"),

@@ -34,26 +34,40 @@ class Build:
     def table(self, name: str) -> DataFrame:
         return self.store.read(name)
 
-    def publish(self, frames: Mapping[str, Callable[[], DataFrame]]) -> int:
-        """Write tables side by side, hold them to their declared rules, make them current."""
+    def publish(
+        self, frames: Mapping[str, Callable[[], DataFrame]], merge: bool = False
+    ) -> int:
+        """Write tables side by side, hold them to their declared rules, make them current.
+
+        Only rows that arrive are held to the rules: linked parts were when they were written,
+        none of them holds an arriving key, and no table they refer to loses rows by an upsert.
+        """
         rules = audits.domain_measures if self.constraints else None
-        drafts = self.store.write_all(frames, rules)
-        paths = {name: draft.path for name, draft in drafts.items()}
+        drafts = self.store.write_all(frames, rules, merge)
         if self.constraints:
             outside = {k: v for draft in drafts.values() for k, v in draft.measures.items()}
-            audits.enforce(lambda name: self.store.read(name, paths), list(paths), outside)
-        self.store.publish(paths)
+            audits.enforce(
+                lambda name: self.store.read_parts(name, drafts[name].arrived),
+                lambda name: self.store.read(name, drafts),
+                [name for name, draft in drafts.items() if draft.arrived], outside)
+        self.store.publish(drafts)
         self.counts.update({name: draft.rows for name, draft in drafts.items()})
         return sum(draft.rows for draft in drafts.values())
 
     def merge(self, frames: Mapping[str, Callable[[], DataFrame]]) -> None:
-        """Upsert into the current versions by declared key."""
+        """Upsert into the current versions by declared key.
+
+        Tables with a partition column are written where they change, others as a whole.
+        """
 
         def merged(name: str, incoming: Callable[[], DataFrame]) -> DataFrame:
             existing = self.table(name) if self.store.has(name) else None
             return upsert(existing, incoming(), list(TABLES[name].key))
 
-        self.publish({name: partial(merged, name, new) for name, new in frames.items()})
+        self.publish({
+            name: new if TABLES[name].partition else partial(merged, name, new)
+            for name, new in frames.items()
+        }, merge=True)
 
 
 def load_raw(build: Build, raw: Mapping[str, DataFrame]) -> None:
@@ -98,10 +112,13 @@ def build_dimensions(build: Build) -> None:
 def build_facts(build: Build) -> None:
     s = _layer(build, "staging")
     build.merge({
-        "analytics.fact_orders": lambda: facts.orders(s["orders"]),
-        "analytics.fact_order_items": lambda: facts.order_items(s["order_items"], s["orders"]),
-        "analytics.fact_payments": lambda: facts.payments(s["order_payments"]),
-        "analytics.fact_reviews": lambda: facts.reviews(s["order_reviews"]),
+        f"analytics.{name}": partial(facts.by_month, fact, s["orders"])
+        for name, fact in {
+            "fact_orders": facts.orders(s["orders"]),
+            "fact_order_items": facts.order_items(s["order_items"], s["orders"]),
+            "fact_payments": facts.payments(s["order_payments"]),
+            "fact_reviews": facts.reviews(s["order_reviews"]),
+        }.items()
     })
     build.publish({
         "analytics.order_summary": lambda: facts.order_summary(
@@ -148,15 +165,21 @@ def run(
     root: str,
     expected: Mapping[str, int] | None = None,
     constraints: bool = True,
+    keep_versions: int = 3,
+    take_over: bool = False,
 ) -> Build:
     """Build the warehouse below `root` from the nine raw tables.
 
     Stops at the first failing step and records it in the run log. Running twice gives the
-    same tables as running once.
+    same tables as running once. Only one run at a time holds the store; a run that was
+    killed can be taken over, and is refused if it publishes after that. At the end of a run
+    the newest `keep_versions` versions of each table are kept.
     """
     log = RunLog(spark, root)
-    run_id, started = log.start()
-    build = Build(Store(spark, root), constraints)
+    run_id, started = log.start(take_over)
+    store = Store(spark, root, run_id)
+    store.fence()
+    build = Build(store, constraints)
     steps: list[tuple[str, Callable[[Build], None]]] = [
         ("Load raw", lambda b: load_raw(b, raw)),
         ("Check raw", check("raw")),
@@ -170,9 +193,11 @@ def run(
     ]
     if expected:
         steps.append(("Row counts", check_counts(expected)))
+    steps.append(("Expire versions", lambda b: b.store.expire(keep_versions)))
     for name, step in steps:
         began = time.perf_counter()
         try:
+            log.step(run_id, started)
             step(build)
             build.seconds[name] = round(time.perf_counter() - began, 2)
         except Exception as error:

@@ -19,6 +19,9 @@ SETTINGS = {
     # that, so without the factor a side well above the limit would be broadcast.
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
+    # Facts lie in a folder per month. Up to this many folders the driver lists by itself,
+    # which is quicker than a job that lists them.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "500",
 }
 
 

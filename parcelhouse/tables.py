@@ -40,6 +40,8 @@ class Table:
     parents: tuple[Parent, ...] = ()
     between: dict[str, tuple[int, int]] = field(default_factory=dict)
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    # A whole number per row by which stored files are kept apart; it is no column of the table.
+    partition: str | None = None
 
     @property
     def layer(self) -> str:
@@ -139,6 +141,8 @@ PRODUCT_FULL = (
     *PRODUCT_MEASURES,
     text("category_translation_status", 20, True),
 )
+# Facts are stored by the month in which their order was made, as YYYYMM.
+PURCHASE_MONTH = "purchase_month"
 POINT = (column("latitude", "decimal(10,7)"), column("longitude", "decimal(10,7)"))
 
 _DECLARED = (
@@ -283,6 +287,7 @@ _DECLARED = (
             column("delivered_late", "boolean"),
         ),
         ("order_id",),
+        partition=PURCHASE_MONTH,
         parents=(
             refers("customer_id", "analytics.dim_customer"),
             refers("purchase_date_key", "analytics.dim_date", "date_key"),
@@ -301,6 +306,7 @@ _DECLARED = (
             column("item_total_value", AMOUNT, True),
         ),
         ("order_id", "order_item_id"),
+        partition=PURCHASE_MONTH,
         parents=(
             refers("order_id", "analytics.fact_orders"),
             refers("product_id", "analytics.dim_product"),
@@ -310,6 +316,7 @@ _DECLARED = (
     ),
     Table(
         "analytics.fact_payments", PAYMENT, ("order_id", "payment_sequential"),
+        partition=PURCHASE_MONTH,
         parents=(refers("order_id", "analytics.fact_orders"),),
     ),
     Table(
@@ -324,6 +331,7 @@ _DECLARED = (
             column("review_creation_date_key", "int"),
         ),
         ("review_id", "order_id"),
+        partition=PURCHASE_MONTH,
         parents=(
             refers("order_id", "analytics.fact_orders"),
             refers("review_creation_date_key", "analytics.dim_date", "date_key"),

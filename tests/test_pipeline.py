@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from comparing import rows
-from parcelhouse.plans import pipeline
+from parcelhouse.operators.upsert import upsert
+from parcelhouse.plans import facts, pipeline
+from parcelhouse.plans.warehouse import Warehouse
 from parcelhouse.session import scratch_dir
 from parcelhouse.sources.csv_files import CsvTables, write_csv
 from parcelhouse.sources.driver_tables import RawTables
-from parcelhouse.sources.store import RunLog, Store
+from parcelhouse.sources.shared_files import listed, put_if_absent
+from parcelhouse.sources.store import Outdated, RunInProgress, RunLog, Store
 from parcelhouse.tables import TABLES, in_layer
 
 STORED = [n for n in TABLES if not n.startswith("meta.")]
@@ -24,7 +30,7 @@ def root(spark):
 
 def put(store, name, df):
     draft = store.write(name, df)
-    store.publish({name: draft.path})
+    store.publish({name: draft})
     return draft.rows
 
 
@@ -39,9 +45,9 @@ def test_write_counts_rows_and_publishes(spark, frame, root):
 def test_draft_is_not_visible_before_publishing(spark, frame, root):
     store = Store(spark, root)
     put(store, "raw.sellers", frame("raw.sellers", SELLER))
-    path = store.write("raw.sellers", frame("raw.sellers")).path
+    draft = store.write("raw.sellers", frame("raw.sellers"))
     assert Store(spark, root).read("raw.sellers").count() == 1
-    assert store.read("raw.sellers", {"raw.sellers": path}).count() == 0
+    assert store.read("raw.sellers", {"raw.sellers": draft}).count() == 0
 
 
 def test_broken_table_is_not_published(spark, frame, root):
@@ -65,6 +71,143 @@ def test_merge_keeps_rows_that_do_not_come_again(spark, frame, root):
     assert rows(build.table("analytics.dim_seller"), "seller_id", "seller_city") == {("s", "y"), ("t", "x")}
 
 
+ORDER = {"customer_id": "c", "order_status": "delivered"}
+
+
+def bought(frame, *orders):
+    """fact_orders rows (order_id, day, status) with their month."""
+    made = frame("analytics.fact_orders", *[
+        {**ORDER, "order_id": o, "purchase_date_key": day, "order_status": status} for o, day, status in orders])
+    return facts.by_month(made, None)
+
+
+def months_of(store, name="analytics.fact_orders"):
+    found = {}
+    for part in store.current[name]:
+        found.setdefault(part.value, set()).add(part.path)
+    return found
+
+
+def files_of(store, spark, root, value, name="analytics.fact_orders"):
+    paths = [f"{root}/{p.path}" for p in store.current[name] if p.value == value]
+    return {f for p in paths for f in spark.read.parquet(p).inputFiles()}
+
+
+def test_merge_links_untouched_months(spark, frame, root):
+    """Of four months one is delivered again as it is, one changes, two do not come in."""
+    name, store = "analytics.fact_orders", Store(spark, root)
+    first = [("a", 20170105, "x"), ("b", 20170106, "x"), ("c", 20170210, "x"), ("d", 20170310, "x"),
+             ("e", 20170410, "x"), ("f", 20170411, "x")]
+    store.publish({name: store.write(name, bought(frame, *first))})
+    before = {m: files_of(store, spark, root, m) for m in ("201701", "201702", "201703", "201704")}
+    store.publish({name: store.merge(name, bought(
+        frame, ("a", 20170105, "new"), ("g", 20170120, "x"), ("c", 20170210, "x"), ("h", 20170501, "x")))})
+    again = Store(spark, root)
+    assert rows(again.read(name), "order_id", "order_status") == {
+        ("a", "new"), ("b", "x"), ("c", "x"), ("d", "x"), ("e", "x"), ("f", "x"), ("g", "x"), ("h", "x")}
+    after = {m: files_of(again, spark, root, m) for m in ("201701", "201702", "201703", "201704", "201705")}
+    assert all(after[m] == before[m] for m in ("201702", "201703", "201704"))
+    assert not after["201701"] & before["201701"] and after["201705"]
+
+
+def test_merge_follows_a_key_to_another_month(spark, frame, root):
+    name, store = "analytics.fact_orders", Store(spark, root)
+    store.publish({name: store.write(name, bought(frame, ("a", 20170105, "x"), ("b", 20170106, "x"), ("c", 20170301, "x")))})
+    march = months_of(store)["201703"]
+    store.publish({name: store.merge(name, bought(frame, ("a", 20170210, "moved")))})
+    assert rows(store.read(name), "order_id", "purchase_date_key") == {
+        ("a", 20170210), ("b", 20170106), ("c", 20170301)}
+    assert months_of(store)["201703"] == march and len(months_of(store)["201701"]) == 1
+    store.publish({name: store.merge(name, bought(frame, ("b", 20170211, "moved")))})
+    assert set(months_of(store)) == {"201702", "201703"}
+    assert store.read(name).count() == 3
+
+
+def test_merge_equals_upsert_of_whole_tables(spark, small, root):
+    """Random deliveries with moved keys, several in a row."""
+    name, store = "analytics.fact_reviews", Store(spark, root)
+    w = Warehouse(RawTables(spark, small))
+    fact = facts.by_month(w.fact_reviews, w.staging_orders).checkpoint()
+    expected = None
+    for k in range(3):
+        delivery = fact.where(F.xxhash64("order_id", F.lit(k)) % 5 == 0).withColumns({
+            "review_score_category": F.lit(f"delivery {k}"),
+            "purchase_month": F.when(F.xxhash64("review_id", F.lit(k)) % 7 == 0, 199001 + k).otherwise(
+                F.col("purchase_month")),
+        })
+        store.publish({name: store.merge(name, delivery)})
+        expected = upsert(expected, delivery.drop("purchase_month"), list(TABLES[name].key))
+    found = Store(spark, root).read(name)
+    expected = expected.select(*found.columns)
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+    assert store.read_parts(name, store.current[name], True).where("purchase_month < 199101").count() > 0
+
+
+def test_empty_deliveries_and_tables(spark, frame, root):
+    name, store = "analytics.fact_orders", Store(spark, root)
+    store.publish({name: store.merge(name, bought(frame))})
+    assert Store(spark, root).has(name) and Store(spark, root).read(name).isEmpty()
+    store.publish({name: store.merge(name, bought(frame, ("a", 20170105, "x")))})
+    before = store.current[name]
+    store.publish({name: store.merge(name, bought(frame))})
+    assert store.current[name] == before and Store(spark, root).read(name).count() == 1
+
+
+def test_same_key_in_a_stored_and_a_new_month_is_refused(spark, frame, root):
+    """The month that comes in unchanged is not written, but its keys are still compared."""
+    build, name = pipeline.Build(Store(spark, root)), "analytics.fact_orders"
+    build.store.publish({name: build.store.write(name, bought(frame, ("a", 20170105, "x")))})
+    for parent in ("analytics.dim_customer", "analytics.dim_date"):
+        build.store.publish({parent: build.store.write(parent, frame(parent))})
+    with pytest.raises(pipeline.audits.IntegrityError, match=r"fact_orders \(order_id\)"):
+        build.merge({name: lambda: bought(frame, ("a", 20170105, "x"), ("a", 20170210, "x"))})
+    assert Store(spark, root).read(name).count() == 1
+
+
+def test_second_writer_is_refused(spark, frame, root):
+    one, other = Store(spark, root), Store(spark, root)
+    put(one, "raw.sellers", frame("raw.sellers", SELLER))
+    with pytest.raises(Outdated):
+        put(other, "raw.sellers", frame("raw.sellers"))
+    assert Store(spark, root).read("raw.sellers").count() == 1
+
+
+def test_fenced_writer_is_refused(spark, frame, root):
+    slow = Store(spark, root)
+    Store(spark, root).fence()
+    with pytest.raises(Outdated):
+        put(slow, "raw.sellers", frame("raw.sellers", SELLER))
+    assert not Store(spark, root).has("raw.sellers")
+
+
+def test_only_one_of_many_creates_a_file(spark, root):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: put_if_absent(spark, f"{root}/claims/1", [{"by": k}]), range(8)))
+    assert sum(made) == 1 and [name for name, _, _ in listed(spark, f"{root}/claims")] == ["1"]
+
+
+def test_expiry_keeps_what_kept_versions_list(spark, frame, root):
+    name, store = "analytics.fact_orders", Store(spark, root)
+    store.publish({name: store.merge(name, bought(frame, ("a", 20170105, "x"), ("b", 20170210, "x")))})
+    for k in range(3):
+        store.publish({name: store.merge(name, bought(frame, ("a", 20170105, f"new {k}")))})
+        put(store, "raw.sellers", frame("raw.sellers", {**SELLER, "seller_id": str(k)}))
+    store.write(name, bought(frame, ("z", 20170105, "draft of a run that failed")))
+    february, live = months_of(store)["201702"], files_of(store, spark, root, "201701")
+    # Two tables of sellers; the first January, two later ones and the draft; and the folders of
+    # three merges in which no old row remained.
+    assert len(store.unreachable(1)) == 9
+    assert store.expire(2) > 0
+    again = Store(spark, root)
+    assert months_of(again)["201702"] == february and files_of(again, spark, root, "201701") == live
+    assert rows(again.read(name), "order_id", "order_status") == {("a", "new 2"), ("b", "x")}
+    assert again.unreachable(2) == []
+    assert rows(again.history(), "table", "versions", "versions_kept", "rows") == {
+        (name, 4, 2, 2), ("raw.sellers", 3, 2, 1)}
+    assert again.expire(1) > 0 and again.expire(1) == 0
+    assert rows(Store(spark, root).read(name), "order_id") == {("a",), ("b",)}
+
+
 def test_run_log(spark, root):
     log = RunLog(spark, root)
     assert log.runs().count() == 0
@@ -76,6 +219,56 @@ def test_run_log(spark, root):
         (1, "failed", "Check raw", 3), (2, "running", None, None)}
 
 
+def test_only_one_run_at_a_time(spark, root):
+    log = RunLog(spark, root)
+    first, started = log.start()
+    with pytest.raises(RunInProgress):
+        RunLog(spark, root).start()
+    other = RunLog(spark, root)
+    assert other.start(take_over=True)[0] == 2
+    log.finish(first, started, "succeeded", 1, 0)  # too late: its state is final
+    assert rows(log.runs(), "run_id", "status", "error_message") == {
+        (1, "failed", "taken over by run 2"), (2, "running", None)}
+
+
+def test_a_silent_run_is_taken_over(spark, root):
+    RunLog(spark, root).start()
+    later = RunLog(spark, root, stale_after=timedelta(0))
+    assert later.start()[0] == 2
+    assert rows(later.runs(), "run_id", "status") == {(1, "failed"), (2, "running")}
+
+
+def test_of_runs_that_start_together_one_gets_through(spark, root):
+    def start(_):
+        try:
+            return RunLog(spark, root).start()[0]
+        except RunInProgress:
+            return None
+    with ThreadPoolExecutor(6) as pool:
+        ids = [i for i in pool.map(start, range(6)) if i]
+    assert ids == [1]
+
+
+def test_concurrent_run_is_refused_and_a_taken_over_one_cannot_publish(spark, small, root):
+    raw = RawTables(spark, small)
+
+    class Meanwhile(dict):
+        """Raw tables during whose load another run starts, is refused, and takes over."""
+        def __getitem__(self, name):
+            if name == "customers" and not self.get("done"):
+                self["done"] = True
+                with pytest.raises(RunInProgress):
+                    pipeline.run(spark, raw, root, constraints=False)
+                pipeline.run(spark, raw, root, constraints=False, take_over=True)
+            return raw[name]
+
+    with pytest.raises(pipeline.PipelineFailed, match="Load raw: .* published by another writer"):
+        pipeline.run(spark, Meanwhile(), root, constraints=False)
+    assert rows(RunLog(spark, root).runs(), "run_id", "status", "failed_step") == {
+        (1, "failed", "Taken over"), (2, "succeeded", None)}
+    assert Store(spark, root).read("raw.orders").count() == raw["orders"].count()
+
+
 @pytest.fixture(scope="module")
 def built(spark, small):
     """The warehouse built from CSV files, twice over the same store."""
@@ -97,9 +290,10 @@ def test_build_from_csv(built):
 @pytest.mark.parametrize("name", STORED)
 def test_building_twice_gives_the_same_table(spark, built, name):
     _, paths, second, _ = built
-    before = spark.read.schema(TABLES[name].schema).parquet(paths[name])
+    before = second.store.read_parts(name, paths[name])
     after = second.table(name)
-    assert paths[name] != second.store.current[name]
+    linked = paths[name] == second.store.current[name]
+    assert linked == bool(TABLES[name].partition)  # months that come in as they are stay
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
 
 
