@@ -2,80 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelhouse.session import checkpointed
-
-# A group up to this size is sorted by one task; a larger one is sorted by many.
+# A group up to this size is sorted by one task; a larger one in ranges of about this size.
 ROWS_PER_TASK = 5_000_000
+# Rows looked at per range to find its upper bound.
+SAMPLES_PER_RANGE = 16
+# Bounds are searched in two steps, first every so many of them.
+STRIDE = 50
 
 
-def oversized_groups(df: DataFrame, key: str, limit: int = ROWS_PER_TASK) -> DataFrame | None:
-    """(key, _size) of every key with more than `limit` rows, or None if there is none.
+def range_bounds(df: DataFrame, key: str, order: list[str], limit: int) -> DataFrame:
+    """Of every key with more than `limit` rows: `_bounds`, places that cut it into ranges.
 
-    Sizes are exact and counted where the rows are before anything is shuffled. The keys stay
-    a table, however many there are; it is written to the shared folder.
+    Bounds are taken from the rows whose hash of the sort columns falls on a fixed share of
+    all values, so they depend on the data alone and come out the same whenever the plan, or
+    a lost part of it, runs again. There are at most as many such keys and bounds as `limit`
+    fits into the number of all rows.
     """
+    every = max(1, limit // SAMPLES_PER_RANGE)
+    step = max(1, limit // every)
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    found = checkpointed(sizes.where(F.col("_size") > limit))
-    return None if found.isEmpty() else found
+    large = sizes.where(F.col("_size") > limit).select(key)
+    sample = df.join(F.broadcast(large), key, "left_semi").where(
+        F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
+    sorted_sample = F.array_sort(F.array_distinct(F.collect_list(F.struct(*order))))
 
+    def each(n: int, places: Column) -> Column:
+        return F.filter(places, lambda _, i: (i + 1) % n == 0)
 
-def number_within(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    name: str,
-    hot: DataFrame | None,
-    limit: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Add `name`: 1, 2, 3... within each `key`, in the order of `order`.
+    return (
+        sample.groupBy(key).agg(sorted_sample.alias("_sample"))
+        .select(key, each(step, F.col("_sample")).alias("_bounds"))
+        .select(key, "_bounds", each(STRIDE, F.col("_bounds")).alias("_strides"))
+    )
 
-    `hot` holds the oversized groups (key, _size). It decides how the work is spread, never
-    what the numbers are.
 
-    Ordinary groups take one window sort. Rows of oversized groups are spread over all
-    tasks by value range; the number is then the place within the range plus the size of
-    the group's earlier ranges. The ranges are checkpointed, because a range boundary that
-    moved between two uses would give wrong numbers.
-    """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("bigint")
-    if hot is None:
-        return df.withColumn(name, place)
+def _range(order: list[str]) -> Column:
+    """How many bounds lie below the row; 0 in a group without bounds."""
+    place = F.struct(*order)
+
+    def below(places: Column) -> Column:
+        return F.size(F.filter(places, lambda b: b < place))
 
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(partitions, 1 + (hot.agg(F.sum("_size")).first()[0] or 0) // limit)
-    keys = hot.select(key)
-    ordinary = df.join(keys, key, "left_anti").select(*df.columns).withColumn(name, place)
-    spread = df.join(keys, key, "left_semi").select(*df.columns)
-    return ordinary.unionByName(_number_by_ranges(spread, key, order, name, ranges))
+    passed = below(F.col("_strides")) * STRIDE
+    searched = passed + below(F.slice("_bounds", passed + 1, F.lit(STRIDE)))
+    return F.when(F.col("_bounds").isNotNull(), searched).otherwise(0)
 
 
-def _number_by_ranges(
-    df: DataFrame, key: str, order: list[str], name: str, ranges: int
+def number_within(
+    df: DataFrame, key: str, order: list[str], name: str, limit: int = ROWS_PER_TASK
 ) -> DataFrame:
-    # The last sort column only spreads equal rows; which of them comes first is open.
-    spread = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(ranges, key, *order, "_tie")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    spread = checkpointed(spread)
-    before = Window.partitionBy(key).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # At most one row per hot key and range.
-    offsets = (
-        spread.groupBy(key, "_range")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_earlier", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .drop("_size")
+    """Add `name`: 1, 2, 3... within each `key`, in the order of `order`.
+
+    Groups with more than `limit` rows are cut into ranges. The number is the place within
+    the range plus the size of the group's earlier ranges. `limit` decides how the work is
+    spread, never what the numbers are.
+
+    Nothing runs while the plan is made, and where the number is not read, Spark leaves out
+    all of this, as the tables joined here have one row per key. Rows that agree in all of
+    `order` are numbered in any order and lie in one range; a last column that tells rows
+    apart spreads them.
+    """
+    bounds = range_bounds(df, key, order, limit)
+    held = df.join(F.broadcast(bounds), key).select(key, _range(order).alias("_range"))
+    sizes = held.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    # A bound is a row and lies in the range it closes, so no range before the last is empty.
+    in_order = F.array_sort(F.collect_list(F.struct("_range", "_size")))
+    earlier = sizes.groupBy(key).agg(in_order.alias("_sizes")).select(
+        key,
+        F.aggregate(
+            "_sizes", F.array(F.lit(0).cast("bigint")),
+            lambda sums, s: F.concat(sums, F.array(F.element_at(sums, -1) + s["_size"])),
+        ).alias("_earlier"),
     )
-    place = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*order, "_tie"))
-    return (
-        spread.withColumn(name, place.cast("bigint"))
-        .join(offsets, [key, "_range"])
-        .withColumn(name, F.col(name) + F.col("_earlier"))
-        .drop("_tie", "_range", "_earlier")
+    within = Window.partitionBy(key, "_range").orderBy(*order)
+    before = F.coalesce(F.try_element_at("_earlier", F.col("_range") + 1), F.lit(0))
+    numbered = (
+        df.join(F.broadcast(bounds), key, "left").withColumn("_range", _range(order))
+        .join(F.broadcast(earlier), key, "left")
+        .withColumn(name, F.row_number().over(within).cast("bigint") + before)
     )
+    return numbered.select(*df.columns, name)

@@ -62,39 +62,52 @@ def items_per_order(fact_items: DataFrame) -> DataFrame:
     )
 
 
-def payments_per_order(fact_payments: DataFrame) -> DataFrame:
+def payment_groups(fact_payments: DataFrame) -> DataFrame:
+    """All that is asked of an order's payments, in one grouping.
+
+    The main type paid the largest amount, the first payment winning ties. The set of
+    types per order is small however many payments there are.
+    """
+    largest = F.struct(F.col("payment_value"), -F.col("payment_sequential"))
     return fact_payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(TOTAL).alias("payment_total")
+        F.sum("payment_value").cast(TOTAL).alias("payment_total"),
+        rows().alias("payment_count"),
+        F.array_join(F.array_sort(F.collect_set("payment_type")), "+").alias("payment_types"),
+        F.max_by("payment_type", largest).alias("main_payment_type"),
+        F.bool_or(F.col("payment_type") == "voucher").alias("uses_voucher"),
+        F.max("payment_installments").alias("max_installments"),
     )
 
 
-def order_summary(
-    fact_orders: DataFrame, fact_items: DataFrame, fact_payments: DataFrame
+def payments_per_order(fact_payments: DataFrame) -> DataFrame:
+    return payment_groups(fact_payments).select("order_id", "payment_total")
+
+
+def order_sides(
+    fact_orders: DataFrame, fact_items: DataFrame, payments: DataFrame
 ) -> DataFrame:
     """Item and payment totals side by side, one row per order, and whether they agree.
 
-    Both sides are summed to one row per order before the join; joined as they are, an
-    order with 2 items and 3 payments would become 6 rows.
+    `payments` are grouped by order; columns beyond the total are carried along. Both sides
+    are summed to one row per order before the join; joined as they are, an order with 2
+    items and 3 payments would become 6 rows.
     """
-    sides = (
+    items, paid = F.col("item_count").isNotNull(), F.col("payment_total").isNotNull()
+    difference = F.col("payment_total") - F.col("item_total_value")
+    return (
         fact_orders.join(items_per_order(fact_items), "order_id", "left")
-        .join(payments_per_order(fact_payments), "order_id", "left")
-        .withColumns(
-            {
-                "has_items": F.col("item_count").isNotNull(),
-                "has_payments": F.col("payment_total").isNotNull(),
-            }
-        )
+        .join(payments, "order_id", "left")
+        .withColumns({"holds_items": items, "is_paid": paid})
         .fillna(0, ["item_count", "product_value", "freight_value"])
         .fillna(0, ["item_total_value", "payment_total"])
-        .withColumn(
-            "reconciliation_difference", F.col("payment_total") - F.col("item_total_value")
-        )
-        .withColumn(
-            "reconciliation_status",
-            reconciliation_status(
-                F.col("reconciliation_difference"), F.col("has_items"), F.col("has_payments")
-            ),
-        )
+        .withColumn("reconciliation_difference", difference)
+        .withColumn("reconciliation_status", reconciliation_status(
+            F.col("reconciliation_difference"), F.col("holds_items"), F.col("is_paid")))
     )
-    return shaped(sides, "analytics.order_summary")
+
+
+def order_summary(
+    fact_orders: DataFrame, fact_items: DataFrame, fact_payments: DataFrame
+) -> DataFrame:
+    payments = payments_per_order(fact_payments)
+    return shaped(order_sides(fact_orders, fact_items, payments), "analytics.order_summary")

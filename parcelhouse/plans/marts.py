@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelhouse.functions.columns import TOTAL, quotient, rows
 from parcelhouse.functions.labels import delivery_category, installment_band, shown_category
 from parcelhouse.operators.grouping import with_counts
+from parcelhouse.plans.facts import payment_groups
 from parcelhouse.tables import shaped
 
 
@@ -99,29 +100,23 @@ def customer_performance(
 
 
 def payments_by_order(fact_payments: DataFrame) -> DataFrame:
-    """How each order was paid: one grouping for the totals and the main payment type.
-
-    The main type paid the largest amount, the first payment winning ties. The set of
-    types per order is small however many payments there are.
-    """
-    largest = F.struct(F.col("payment_value"), -F.col("payment_sequential"))
-    return fact_payments.groupBy("order_id").agg(
-        rows().alias("payment_count"),
-        F.array_join(F.array_sort(F.collect_set("payment_type")), "+").alias("payment_types"),
-        F.max_by("payment_type", largest).alias("main_payment_type"),
-        F.bool_or(F.col("payment_type") == "voucher").alias("uses_voucher"),
-        F.max("payment_installments").alias("max_installments"),
-    )
+    """How each order was paid."""
+    return payment_groups(fact_payments).drop("payment_total")
 
 
 def payment_analysis(
     order_summary: DataFrame, dim_customer: DataFrame, fact_payments: DataFrame
 ) -> DataFrame:
     """How do customers pay, and which orders do not reconcile? Every order has a row."""
+    paid = order_summary.join(payments_by_order(fact_payments), "order_id", "left")
+    return analysed_payments(paid, dim_customer)
+
+
+def analysed_payments(paid_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """The same from orders that already carry how they were paid."""
     states = dim_customer.select("customer_id", "customer_state")
     paid = (
-        order_summary.join(payments_by_order(fact_payments), "order_id", "left")
-        .join(states, "customer_id")
+        paid_orders.join(states, "customer_id")
         .fillna({"payment_count": 0, "uses_voucher": False})
         .fillna("none", ["payment_types", "main_payment_type"])
         .withColumn("installment_band", installment_band(F.col("max_installments")))

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from parcelhouse.plans import dimensions, facts, marts, staging
+from parcelhouse.tables import shaped
 
 
 class Warehouse:
@@ -96,7 +97,13 @@ class Warehouse:
 
     @cached_property
     def order_summary(self):
-        return facts.order_summary(self.fact_orders, self.fact_order_items, self.fact_payments)
+        return shaped(self.order_sides, "analytics.order_summary")
+
+    @cached_property
+    def order_sides(self):
+        """Orders with all that is known of their payments, which are grouped once."""
+        return facts.order_sides(
+            self.fact_orders, self.fact_order_items, facts.payment_groups(self.fact_payments))
 
     @cached_property
     def delivery_performance(self):
@@ -114,4 +121,4 @@ class Warehouse:
 
     @cached_property
     def payment_analysis(self):
-        return marts.payment_analysis(self.order_summary, self.dim_customer, self.fact_payments)
+        return marts.analysed_payments(self.order_sides, self.dim_customer)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelhouse.functions.columns import AMOUNT, TOTAL
-from parcelhouse.operators.numbering import ROWS_PER_TASK, number_within, oversized_groups
+from parcelhouse.operators.numbering import ROWS_PER_TASK, number_within
 
 ITEM_ORDER = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -19,11 +19,6 @@ ITEM_ORDER = [
 ]
 
 
-# Oversized orders by session and folder. They only steer how rows are spread, so a list
-# from before a change of the files still gives right numbers.
-_HOT_ORDERS: dict[tuple[str, str, int], DataFrame | None] = {}
-
-
 class RawTables(dict):
     """The raw tables by name, each built when first asked for."""
 
@@ -39,14 +34,6 @@ class RawTables(dict):
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def hot_orders(self) -> DataFrame | None:
-        scope = (self.spark.sparkContext.applicationId, self.folder, self.rows_per_task)
-        if scope not in _HOT_ORDERS:
-            order = F.concat(F.lit("o"), "l_orderkey").alias("order_id")
-            lines = self.read("lineitem").select(order)
-            _HOT_ORDERS[scope] = oversized_groups(lines, "order_id", self.rows_per_task)
-        return _HOT_ORDERS[scope]
-
 
 def customers(source: RawTables) -> DataFrame:
     nation_of = source.read("customer").join(
@@ -96,9 +83,12 @@ def orders(source: RawTables) -> DataFrame:
 
 
 def order_items(source: RawTables) -> DataFrame:
-    lines = source.read("lineitem").withColumn("order_id", F.concat(F.lit("o"), "l_orderkey"))
-    hot, limit = source.hot_orders(), source.rows_per_task
-    return number_within(lines, "order_id", ITEM_ORDER, "order_item_id", hot, limit).select(
+    # Equal lines are told apart by where they lie in the files, to spread them.
+    stored_at = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("stored_at")
+    lines = source.read("lineitem").select(
+        F.concat(F.lit("o"), "l_orderkey").alias("order_id"), *ITEM_ORDER, stored_at)
+    order, limit = [*ITEM_ORDER, "stored_at"], source.rows_per_task
+    return number_within(lines, "order_id", order, "order_item_id", limit).select(
         "order_id",
         "order_item_id",
         F.concat(F.lit("p"), "l_partkey").alias("product_id"),

@@ -5,10 +5,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from comparing import rows
-from parcelhouse.operators.numbering import number_within, oversized_groups
+from parcelhouse.operators.numbering import number_within, range_bounds
 from parcelhouse.operators.upsert import upsert
 from parcelhouse.plans.facts import order_items
+from parcelhouse.plans.warehouse import Warehouse
 from parcelhouse.session import checkpointed, scratch_dir, shared_dir
+from parcelhouse.sources.driver_tables import RawTables
 
 
 @pytest.fixture
@@ -16,38 +18,91 @@ def lines(spark, small):
     """Lines of which a third belong to one order, with many equal rows among them."""
     df = spark.read.parquet(f"{small}/lineitem.parquet").select(
         F.when(F.col("l_partkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey")).alias("k"),
-        "l_linenumber", (F.col("l_suppkey") % 4).alias("s"),
+        "l_linenumber", (F.col("l_suppkey") % 4).alias("s"), F.xxhash64("*").alias("tie"),
     )
-    return df.unionByName(df)
+    return df.unionByName(df.withColumn("tie", F.col("tie") + 1))
 
 
-def test_dominant_group_is_found(lines):
+ORDER = ["l_linenumber", "s", "tie"]
+
+
+def test_bounds_are_those_of_oversized_groups(lines):
     sizes = {r["k"]: r["count"] for r in lines.groupBy("k").count().collect()}
-    assert rows(oversized_groups(lines, "k", 1000)) == {(7, sizes[7])}
-    assert oversized_groups(lines, "k", 1_000_000) is None
+    found = {r["k"]: r["_bounds"] for r in range_bounds(lines, "k", ORDER, 1000).collect()}
+    assert set(found) == {7} and len(found[7]) >= sizes[7] // 1000 - 1
+    assert found[7] == sorted(set(found[7]))
+    assert range_bounds(lines, "k", ORDER, 1_000_000).isEmpty()
 
 
-def test_every_oversized_group_is_found(spark):
-    many = spark.range(1500).selectExpr("id AS k", "explode(sequence(1, 12)) AS l")
-    found = oversized_groups(many.unionByName(spark.range(5000, 9000).selectExpr("id AS k", "1 AS l")), "k", 10)
-    assert found.count() == 1500
+def test_bounds_come_out_the_same_however_rows_lie(lines):
+    bounds = [
+        {r["k"]: r["_bounds"] for r in range_bounds(df, "k", ORDER, 300).collect()}
+        for df in (lines, lines.repartition(13), lines.orderBy("s").coalesce(2))
+    ]
+    assert bounds[0] and bounds[0] == bounds[1] == bounds[2]
 
 
-def test_numbers_equal_a_window_over_the_whole_group(lines):
-    window = Window.partitionBy("k").orderBy("l_linenumber", "s")
+@pytest.mark.parametrize("limit", [3, 40, 1000, 1_000_000])
+def test_numbers_equal_a_window_over_the_whole_group(lines, limit):
+    window = Window.partitionBy("k").orderBy(*ORDER)
     expected = lines.withColumn("n", F.row_number().over(window).cast("bigint"))
-    sizes = lines.groupBy("k").agg(F.count("k").alias("_size"))
-    for hot in (None, sizes.where("k = 7"), sizes.where("k % 2 = 1"), sizes):
-        got = number_within(lines, "k", ["l_linenumber", "s"], "n", hot, limit=300)
-        assert got.columns == expected.columns
-        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-
-
-def test_dominant_group_is_spread(lines):
-    got = number_within(lines, "k", ["l_linenumber", "s"], "n", oversized_groups(lines, "k", 1000), limit=300)
-    held = got.where("k = 7").groupBy(F.spark_partition_id()).count()
-    largest, total = held.agg(F.max("count"), F.sum("count")).first()
-    assert largest < total / 2
+    got = number_within(lines, "k", ORDER, "n", limit)
+    assert got.columns == expected.columns
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_equal_rows_get_different_numbers(spark):
+    same = spark.range(2000).selectExpr("1 AS k", "5 AS v")
+    got = number_within(same, "k", ["v"], "n", 100)
+    assert got.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first() == (2000, 1, 2000)
+
+
+def test_dominant_group_is_spread(spark, lines):
+    got = number_within(lines, "k", ORDER, "n", 300)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        held = [r["count"] for r in got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(held) > 1 and max(held) < 0.7 * sum(held)
+
+
+def jobs_of(spark, action):
+    """What an action returns and how many jobs it ran."""
+    context, group = spark.sparkContext, f"jobs-{id(action)}"
+    context.setJobGroup(group, "counted")
+    try:
+        result = action()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_nothing_runs_while_numbers_are_planned(spark, small):
+    raw = RawTables(spark, small, rows_per_task=3)
+    spark.read.parquet(f"{small}/lineitem.parquet").schema  # the files' schema is known
+    items, _ = jobs_of(spark, lambda: raw["order_items"])
+    numbered, jobs = jobs_of(spark, lambda: number_within(
+        items.drop("order_item_id"), "order_id", ["price", "product_id"], "n", 3))
+    assert jobs == 0
+    assert jobs_of(spark, numbered.count)[1] > 0
+
+
+def test_numbers_nobody_reads_cost_nothing(spark, small):
+    summary = Warehouse(RawTables(spark, small)).order_summary
+    plan = summary._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "_bounds" not in plan
+    assert scans(plan, "l_orderkey") == 2  # items, and the totals that payments are made from
+
+
+def scans(plan: str, column: str) -> int:
+    return sum("Relation [" in line and column in line for line in plan.splitlines())
+
+
+def test_payments_are_grouped_once(spark, small):
+    plan = Warehouse(RawTables(spark, small)).payment_analysis._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set(") == 1
+    assert scans(plan, "l_orderkey") == 2
 
 
 def test_upsert(spark):
