@@ -20,11 +20,18 @@ def key_problems(df: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def orphans(child: DataFrame, columns: list[str], parent: DataFrame, parent_columns: list[str]) -> DataFrame:
+def orphans(
+    child: DataFrame, columns: list[str], parent: DataFrame, parent_columns: list[str],
+    few: bool = False,
+) -> DataFrame:
     """Distinct child keys without a parent, with their row counts; NULL keys do not count.
 
-    Children are reduced to one row per key first, so a hot key is one row in the join.
+    Children are reduced to one row per key first, so a hot key is one row in the join. Of
+    `few` children the keys first filter the parents where these are read (Spark broadcasts
+    them, or makes a Bloom filter of them, by their size), so that few parents are shuffled.
     """
     used = with_counts(child.select(*columns).dropna(), *columns)
     known = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_columns, columns)])
+    if few:
+        known = known.join(used.select(*columns), columns, "left_semi")
     return used.join(known, columns, "left_anti")

@@ -39,17 +39,23 @@ class Build:
     ) -> int:
         """Write tables side by side, hold them to their declared rules, make them current.
 
-        Only rows that arrive are held to the rules: linked parts were when they were written,
-        none of them holds an arriving key, and no table they refer to loses rows by an upsert.
+        Only rows that arrive are held to the rules, and older parts that never were. A checked
+        part that is linked again holds no arriving key, and no table it refers to loses rows
+        by an upsert.
         """
         rules = audits.domain_measures if self.constraints else None
         drafts = self.store.write_all(frames, rules, merge)
         if self.constraints:
             outside = {k: v for draft in drafts.values() for k, v in draft.measures.items()}
+            overlooked = {name: d.unchecked for name, d in drafts.items() if d.unchecked}
+            outside.update(audits.domain_failures(
+                lambda name: self.store.read_parts(name, overlooked[name]), list(overlooked)))
             audits.enforce(
-                lambda name: self.store.read_parts(name, drafts[name].arrived),
+                lambda name: self.store.read_parts(
+                    name, (*drafts[name].arrived, *drafts[name].unchecked)),
                 lambda name: self.store.read(name, drafts),
-                [name for name, draft in drafts.items() if draft.arrived], outside)
+                [name for name, d in drafts.items() if d.arrived or d.unchecked], outside)
+            drafts = {name: draft.passed() for name, draft in drafts.items()}
         self.store.publish(drafts)
         self.counts.update({name: draft.rows for name, draft in drafts.items()})
         return sum(draft.rows for draft in drafts.values())

@@ -30,9 +30,9 @@ _FIELDS = rf'(?:(?:"{_TEXT}"[^,]*+|[^",][^,]*+|),)*+'
 OPENS_TEXT = rf'^\ufeff?+{_FIELDS}"{_TEXT}\z'
 KEEPS_TEXT_OPEN = rf'^{_TEXT}(?:\z|"[^,]*+,{_FIELDS}"{_TEXT}\z)'
 
-# A record this much longer than the splits it starts and ends in is an error: its quote was
-# never closed.
-MOST_RECORD_CHARACTERS = 256 * 1024 * 1024
+# The longest text a row of the source's database can hold, one byte less than 1 GiB. A record
+# longer than that in whole splits is an error there as well: its quote was never closed.
+MOST_RECORD_CHARACTERS = 1024 ** 3 - 1
 
 
 @dataclass(frozen=True)
@@ -171,10 +171,17 @@ def long_records(
     )
     here = F.when(F.col("inside") == 0, F.col("begun_0")).otherwise(F.col("begun_1"))
     numbered = local.join(starts, ["file", "split"]).withColumn("record", F.col("offset") + here)
-    texts = F.array_sort(F.collect_list(F.struct("split", "line", "value")))
+
+    def joined(place: str, text: str) -> Column:
+        in_order = F.array_sort(F.collect_list(F.struct(place, text)))
+        return F.array_join(F.transform(in_order, lambda t: t[text]), "\n")
+
+    # One shuffle, then lines become one text per split and these the record, so what is
+    # held line by line is never more than a split.
     records = (
-        numbered.groupBy("file", "record")
-        .agg(F.array_join(F.transform(texts, lambda t: t["value"]), "\n").alias("text"))
+        numbered.repartition("file", "record")
+        .groupBy("file", "record", "split").agg(joined("line", "value").alias("part"))
+        .groupBy("file", "record").agg(joined("split", "part").alias("text"))
         .withColumn("text", F.regexp_replace("text", "\r$", ""))
         .where("text <> ''")
     )
@@ -217,12 +224,14 @@ def _value(name: str, kind: str) -> Column:
         # A moment that cannot be read counts as missing.
         return F.when(text.rlike(MOMENT), text.try_cast("timestamp_ntz"))
     if kind in ("int", "bigint"):
-        # Whole numbers with missing values are often exported as 40.0.
-        number = text.cast("decimal(24,4)")
+        # Whole numbers with missing values are often exported as 40.0 or 4e1.
+        number = text.cast("decimal(38,18)")
         message = F.concat(F.lit(f"{name} is not a whole number: "), text)
-        # The cast rounds, so decimals are looked for in the text as well.
+        # The cast rounds to 18 places, so the text is looked at as well: plain decimals, and a
+        # number with an exponent that has become 0 without being 0.
         decimals = text.rlike(r"^[^eE]*\.\d*[1-9]\d*\s*$")
-        broken = (number != F.floor(number)) | decimals
+        vanished = (number == 0) & text.rlike(r"^[^eE]*[1-9][^eE]*[eE]")
+        broken = (number != F.floor(number)) | decimals | vanished
         return F.when(broken, F.raise_error(message)).otherwise(number).cast(kind)
     return text.cast(kind)
 

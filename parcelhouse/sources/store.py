@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 from uuid import uuid4
@@ -30,7 +30,7 @@ from parcelhouse.tables import TABLES
 
 RECORD = (
     "sequence bigint, run_id bigint, kind string, table string, part string, path string, "
-    "rows bigint, files bigint, sum_1 decimal(38,0), sum_2 decimal(38,0)"
+    "rows bigint, files bigint, sum_1 decimal(38,0), sum_2 decimal(38,0), checked boolean"
 )
 RUN_EVENT = (
     "run_id bigint, started_at timestamp, finished_at timestamp, status string, "
@@ -51,13 +51,17 @@ class RunInProgress(Exception):
 
 @dataclass(frozen=True)
 class Part:
-    """A folder of files, what it holds, and the value of the partition column (or '')."""
+    """A folder of files, what it holds, and the value of the partition column (or '').
+
+    `checked` says that its rows were held to the declared rules when it was published.
+    """
 
     value: str
     path: str
     rows: int
     files: int
     sums: tuple[int, int]
+    checked: bool = False
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,15 @@ class Draft:
     def rows(self) -> int:
         return sum(p.rows for p in self.parts)
 
+    @property
+    def unchecked(self) -> tuple[Part, ...]:
+        """Older parts that this version lists again and that were never checked."""
+        return tuple(p for p in self.parts if not p.checked and p not in self.arrived)
+
+    def passed(self) -> Draft:
+        """The same draft after its parts were checked."""
+        return replace(self, parts=tuple(replace(p, checked=True) for p in self.parts))
+
 
 def _by_value(parts: Iterable[Part]) -> dict[str, list[Part]]:
     found: dict[str, list[Part]] = {}
@@ -101,7 +114,7 @@ class Store:
             parts = found.setdefault(r["table"], [])
             if r["path"] is not None:
                 parts.append(Part(r["part"], r["path"], r["rows"], r["files"],
-                                  (int(r["sum_1"]), int(r["sum_2"]))))
+                                  (int(r["sum_1"]), int(r["sum_2"])), bool(r["checked"])))
         self.current = {name: tuple(parts) for name, parts in found.items()}
 
     def _records(self) -> DataFrame:
@@ -254,7 +267,7 @@ class Store:
                 record = {"kind": kind, "table": name}
                 if p:
                     record |= {"part": p.value, "path": p.path, "rows": p.rows, "files": p.files,
-                               "sum_1": p.sums[0], "sum_2": p.sums[1]}
+                               "sum_1": p.sums[0], "sum_2": p.sums[1], "checked": p.checked}
                 records.append(record)
         self._record(records)
         self.current.update({name: draft.parts for name, draft in drafts.items()})

@@ -3,6 +3,7 @@
 import pytest
 
 from comparing import rows
+from parcelhouse.operators.keys import orphans
 from parcelhouse.plans import audits
 
 
@@ -57,11 +58,13 @@ def test_row_counts_against_expectation(frame):
 
 def test_enforce(frame):
     good = {"seller_id": "s", "seller_zip_code_prefix": 1, "seller_city": "x", "seller_state": "SP"}
-    audits.enforce(only(frame, sellers=[good]), ["raw.sellers"], {"a rule": 0})
+    def enforce(tables, *rest):
+        audits.enforce(tables, tables, *rest)
+    enforce(only(frame, sellers=[good]), ["raw.sellers"], {"a rule": 0})
     with pytest.raises(audits.IntegrityError, match=r"raw.sellers \(seller_id\); a rule"):
-        audits.enforce(only(frame, sellers=[good, good]), ["raw.sellers"], {"a rule": 1})
+        enforce(only(frame, sellers=[good, good]), ["raw.sellers"], {"a rule": 1})
     with pytest.raises(audits.IntegrityError, match=r"raw.order_payments \(order_id\) -> raw.orders"):
-        audits.enforce(only(frame, order_payments=[{
+        enforce(only(frame, order_payments=[{
             "order_id": "o", "payment_sequential": 1, "payment_type": "x", "payment_installments": 1,
             "payment_value": 1}]), ["raw.order_payments"], {})
 
@@ -73,3 +76,10 @@ def test_domain_measures_equal_the_audit(frame):
     taken = df.agg(*measures.values()).first()
     audited = audits.domains(lambda _: df, ["raw.order_reviews"]).collect()
     assert list(taken) == [r["failing_rows"] for r in audited]
+
+
+def test_orphans_of_few_children_are_the_same(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,), (9,)], "k int")
+    parent = spark.createDataFrame([(1,), (3,), (3,), (None,)], "p int")
+    found = [rows(orphans(child, ["k"], parent, ["p"], few)) for few in (False, True)]
+    assert found[0] == found[1] == {(2, 2), (9, 1)}

@@ -119,6 +119,22 @@ def test_quote_never_closed_is_an_error(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_record_over_many_splits(spark, tmp_path):
+    """A record of a few hundred splits is put together; one beyond the limit is refused."""
+    text = "\n".join(f'line {k}, with ""quotes""' for k in range(20_000))
+    path = tmp_path / "order_reviews_dataset.csv"
+    path.write_text(f'a,b\n1,"{text}"\n2,short\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = {r["a"]: r["b"] for r in long_records(spark, str(path)).collect()}
+        assert found == {"1": text.replace('""', '"'), "2": "short"}
+        with pytest.raises(Exception, match="never closed"):
+            long_records(spark, str(path), most_characters=100_000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_very_long_line_of_quotes(spark, tmp_path):
     body = 'ab""' * 300_000
     path = write(tmp_path, "a.csv", f'id,text\n1,"{body}\nend"\n2,y\n')
@@ -165,13 +181,19 @@ def test_integers_with_decimals_and_missing_values(spark, tmp_path):
     assert df.schema["product_name_length"].dataType.simpleString() == "int"
 
 
-@pytest.mark.parametrize("number", ["40.5", "40.00001", "0.000000000000000000000000001"])
+@pytest.mark.parametrize("number", ["40.5", "40.00001", "0.000000000000000000000000001", "4.000001e1", "45e-1", "1E-30", "0.5e0"])
 def test_fraction_in_integer_column_is_an_error(spark, tmp_path, number):
     path = write(tmp_path, "p.csv", PRODUCT_HEADER + f"p1,perfumaria,{number},1,1,1,1,1,1\n")
     with pytest.raises(PySparkException, match="not a whole number"):
         raw_table(spark, "products", path).collect()
 
 
+@pytest.mark.parametrize("number,value", [("4e1", 40), ("4000e-2", 40), ("4.0E+1", 40), ("0e-5", 0), ("0.0", 0)])
+def test_whole_numbers_with_exponents(spark, tmp_path, number, value):
+    path = write(tmp_path, "p.csv", PRODUCT_HEADER + f"p1,perfumaria,{number},1,1,1,1,1,1\n")
+    assert rows(raw_table(spark, "products", path), "product_name_length") == {(value,)}
+
+
 def test_unreadable_moment_is_missing(spark, tmp_path):
     path = write(
         tmp_path, "o.csv",

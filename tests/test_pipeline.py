@@ -71,6 +71,9 @@ def test_merge_keeps_rows_that_do_not_come_again(spark, frame, root):
     assert rows(build.table("analytics.dim_seller"), "seller_id", "seller_city") == {("s", "y"), ("t", "x")}
 
 
+CUSTOMER = {"customer_unique_id": "u", "customer_zip_code_prefix": 1, "customer_city": "x", "customer_state": "SP"}
+DAY = {"year": 2017, "quarter": 1, "month": 1, "month_name": "January", "week": 1, "day": 1,
+       "day_name": "Monday", "is_weekend": False}
 ORDER = {"customer_id": "c", "order_status": "delivered"}
 
 
@@ -164,6 +167,46 @@ def test_same_key_in_a_stored_and_a_new_month_is_refused(spark, frame, root):
     assert Store(spark, root).read(name).count() == 1
 
 
+def facts_of(frame, store, *orders):
+    """fact_orders with the customers and days they refer to."""
+    name = "analytics.fact_orders"
+    for parent, parents in {
+        "analytics.dim_customer": [{**CUSTOMER, "customer_id": "c"}],
+        "analytics.dim_date": [{**DAY, "date_key": d, "full_date": f"{d // 10000}-01-0{k + 1}"}
+                               for k, d in enumerate(sorted({day for _, day, _ in orders}))],
+    }.items():
+        store.publish({parent: store.write(parent, frame(parent, *parents))})
+    return {name: lambda: bought(frame, *orders)}
+
+
+def test_audits_read_arriving_parts_only(spark, frame, root, monkeypatch):
+    """A month that comes in again is compared by key; other checked months are not read."""
+    name, build = "analytics.fact_orders", pipeline.Build(Store(spark, root))
+    orders = [(f"o{m}", 20170001 + 100 * m, "x") for m in range(1, 10)]
+    build.merge(facts_of(frame, build.store, *orders))
+    assert all(p.checked for p in Store(spark, root).current[name])
+    before = build.store.current[name]
+    seen, enforce = [], pipeline.audits.enforce
+    monkeypatch.setattr(pipeline.audits, "enforce", lambda arrived, tables, names, outside: (
+        seen.extend(arrived(n) for n in names), enforce(arrived, tables, names, outside)))
+    build.merge({name: lambda: bought(frame, ("o3", 20170301, "new"))})
+    read = {f.rsplit("/", 1)[0] for df in seen for f in df.inputFiles()}
+    after = build.store.current[name]
+    assert len(set(before) & set(after)) == 8 and len(read) == 1
+    assert {p.value for p in set(after) - set(before)} == {"201703"}
+
+
+def test_parts_written_without_checks_are_checked_when_linked(spark, frame, root):
+    name, store = "analytics.fact_orders", Store(spark, root)
+    loose = pipeline.Build(store, constraints=False)
+    loose.merge(facts_of(frame, store, ("a", 20170101, "x"), ("b", 20170202, "s" * 31), ("d", 20170303, "x")))
+    strict = pipeline.Build(Store(spark, root))
+    with pytest.raises(pipeline.audits.IntegrityError, match="order_status: length <= 30"):
+        strict.merge({name: lambda: bought(frame, ("a", 20170101, "new"))})
+    strict.merge({name: lambda: bought(frame, ("b", 20170202, "short"))})
+    assert all(p.checked for p in Store(spark, root).current[name])
+
+
 def test_second_writer_is_refused(spark, frame, root):
     one, other = Store(spark, root), Store(spark, root)
     put(one, "raw.sellers", frame("raw.sellers", SELLER))
