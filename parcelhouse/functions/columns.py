@@ -28,6 +28,12 @@ def day_key(moment: str) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def day_of(key: str) -> Column:
+    """The calendar day of a whole number YYYYMMDD."""
+    k = F.col(key)
+    return F.make_date((k / 10000).cast("int"), (k / 100).cast("int") % 100, k % 100)
+
+
 def quotient(part: Column, whole: Column, places: int, kind: str, scale: int = 2) -> Column:
     """part / whole with one rounding, at the end.
 

@@ -14,28 +14,25 @@ STRIDE = 50
 
 
 def range_bounds(df: DataFrame, key: str, order: list[str], limit: int) -> DataFrame:
-    """Of every key with more than `limit` rows: `_bounds`, places that cut it into ranges.
+    """Of every key with about `limit` rows or more: `_bounds`, places that cut it into ranges.
 
     Bounds are taken from the rows whose hash of the sort columns falls on a fixed share of
     all values, so they depend on the data alone and come out the same whenever the plan, or
-    a lost part of it, runs again. There are at most as many such keys and bounds as `limit`
-    fits into the number of all rows.
+    a lost part of it, runs again. Of all rows about one in `limit` becomes a bound; equal rows
+    are one.
     """
     every = max(1, limit // SAMPLES_PER_RANGE)
     step = max(1, limit // every)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.where(F.col("_size") > limit).select(key)
-    sample = df.join(F.broadcast(large), key, "left_semi").where(
-        F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
-    sorted_sample = F.array_sort(F.array_distinct(F.collect_list(F.struct(*order))))
+    sample = df.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
 
     def each(n: int, places: Column) -> Column:
         return F.filter(places, lambda _, i: (i + 1) % n == 0)
 
     return (
-        sample.groupBy(key).agg(sorted_sample.alias("_sample"))
+        sample.groupBy(key).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_sample"))
         .select(key, each(step, F.col("_sample")).alias("_bounds"))
         .select(key, "_bounds", each(STRIDE, F.col("_bounds")).alias("_strides"))
+        .where(F.size("_bounds") > 0)
     )
 
 
@@ -56,10 +53,12 @@ def number_within(
 ) -> DataFrame:
     """Add `name`: 1, 2, 3... within each `key`, in the order of `order`.
 
-    Groups with more than `limit` rows are cut into ranges. The number is the place within
+    Groups of about `limit` rows or more are cut into ranges. The number is the place within
     the range plus the size of the group's earlier ranges. `limit` decides how the work is
     spread, never what the numbers are.
 
+    Bounds are broadcast: there is about one per `limit` rows of the whole table.
+
     Nothing runs while the plan is made, and where the number is not read, Spark leaves out
     all of this, as the tables joined here have one row per key. Rows that agree in all of
     `order` are numbered in any order and lie in one range; a last column that tells rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.functions.columns import TOTAL, quotient, rows
+from parcelhouse.functions.columns import TOTAL, day_of, quotient, rows
 from parcelhouse.functions.labels import delivery_category, installment_band, shown_category
 from parcelhouse.operators.grouping import with_counts
 from parcelhouse.plans.facts import payment_groups
@@ -53,31 +53,25 @@ def category_performance(fact_items: DataFrame, dim_product: DataFrame) -> DataF
 
 
 def customer_performance(
-    order_summary: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, fact_reviews: DataFrame
+    order_summary: DataFrame, dim_customer: DataFrame, fact_reviews: DataFrame
 ) -> DataFrame:
     """Who are the customers, how much do they spend, and do they come back?
 
     One row per person. Review scores are summed to one row per order first, so that they
     travel with the order through the join to its customer and one grouping by person
-    yields orders, money, latest state and reviews together.
+    yields orders, money, latest state and reviews together. The day is read off its key,
+    which the audits hold to the calendar, so the calendar is not joined.
     """
     scores = fact_reviews.groupBy("order_id").agg(
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores")
     )
     people = dim_customer.select("customer_id", "customer_unique_id", "customer_state")
-    # At most one row per calendar day (under 4 million for years 1 to 9999), two narrow columns.
-    days = F.broadcast(
-        dim_date.select(
-            F.col("date_key").alias("purchase_date_key"), F.col("full_date").alias("bought_on")
-        )
-    )
     bought = (
         order_summary.select(
-            "order_id", "customer_id", "purchase_date_key",
+            "order_id", "customer_id", day_of("purchase_date_key").alias("bought_on"),
             "item_count", "item_total_value", "delivered_late",
         )
         .join(scores, "order_id", "left")
-        .join(days, "purchase_date_key")
         .join(people, "customer_id")
     )
     with_items = F.count_if(F.col("item_count") > 0)

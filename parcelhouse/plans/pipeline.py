@@ -143,7 +143,7 @@ def build_marts(build: Build) -> None:
         "marts.category_performance": lambda: marts.category_performance(
             a["fact_order_items"], a["dim_product"]),
         "marts.customer_performance": lambda: marts.customer_performance(
-            a["order_summary"], a["dim_customer"], a["dim_date"], a["fact_reviews"]),
+            a["order_summary"], a["dim_customer"], a["fact_reviews"]),
         "marts.payment_analysis": lambda: marts.payment_analysis(
             a["order_summary"], a["dim_customer"], a["fact_payments"]),
     })

@@ -116,7 +116,7 @@ class Warehouse:
     @cached_property
     def customer_performance(self):
         return marts.customer_performance(
-            self.order_summary, self.dim_customer, self.dim_date, self.fact_reviews
+            self.order_summary, self.dim_customer, self.fact_reviews
         )
 
     @cached_property

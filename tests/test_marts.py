@@ -73,13 +73,10 @@ def order(order_id, customer, day, items=1, value="10", late=None):
 
 
 def people(frame, orders, states, scores=()):
-    days = {o["purchase_date_key"] for o in orders}
     return marts.customer_performance(
         frame("analytics.order_summary", *orders),
         frame("analytics.dim_customer", *[
             {"customer_id": c, "customer_unique_id": u, "customer_state": s} for c, u, s in states]),
-        frame("analytics.dim_date", *[
-            {"date_key": d, "full_date": f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}"} for d in days]),
         frame("analytics.fact_reviews", *[
             {"review_id": i, "order_id": o, "review_score": s} for i, (o, s) in enumerate(scores)]),
     )
