@@ -549,7 +549,7 @@ def run_log_states(spark: SparkSession, folder: str) -> DataFrame:
 
 # Report figures
 
-_REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
+REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "late_rate": lambda w: reports.late_rate(w.delivery_performance),
     "late_rate_by_month": lambda w: reports.late_rate_by_month(
         w.delivery_performance, w.dim_date),
@@ -580,5 +580,5 @@ _REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "repeated_reviews_and_moves": lambda w: reports.repeated_reviews_and_moves(
         w.fact_reviews, w.dim_customer),
 }
-for _name, _build in _REPORTS.items():
+for _name, _build in REPORTS.items():
     from_warehouse(f"report_{_name}", _build)
