@@ -17,7 +17,6 @@ from parcelhouse.llm.common import id_and_text, table
 CACHED_CHUNKS = 700_000
 MARKS = ".,;:!?%&$#*|()"
 LAST_LATIN = "\u00ff"
-MOST_OPEN = 2_048
 _cache: dict[str, dict[str, bytes]] = {}
 
 
@@ -166,8 +165,8 @@ def pack(
     rest of each document is placed online by the sum-of-squares rule, within the input split
     that holds it, so that nothing is shuffled and a lost task gives the same pieces again.
     At the end of a split the windows still open are merged by cutting pieces; sequences
-    shorter than `size` are powers of two, a dozen at most per split. At most MOST_OPEN windows
-    are open at a time.
+    shorter than `size` are powers of two, a dozen at most per split. Open windows hold ids of
+    the split only, so a task never holds more than the ids of its split.
 
     Returns doc_id, start (ids of the document before the piece), length, ids (little-endian
     unsigned 32-bit), doc_tokens, sequence_id, offset (place in the sequence).
@@ -218,9 +217,6 @@ def pack(
                     full = packer.place([doc, whole, total - whole, ids[4 * whole:], total])
                     if full:
                         emit(full)
-                    if packer.n_open > MOST_OPEN:
-                        for window in packer.drain():
-                            emit(window)
                 if len(out) >= 2000:
                     yield flush()
         for window in packer.drain():
