@@ -1,7 +1,9 @@
-"""Finds benchmark items in documents: n-gram seeds, then Smith-Waterman alignment."""
+"""Finds benchmark items in documents: rare n-gram seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -16,6 +18,13 @@ from parcelhouse.llm.exact_dedup import key_filter, may_hold
 
 SEED_WORDS = 4
 PART_WORDS = 256
+# An n-gram of more texts or item parts than this is frequent; it takes a second one to match.
+RARE_TEXTS = 100
+RARE_PARTS = 10
+# How many words later that second n-gram may begin.
+REACH = 16
+# Item parts looked for in a text at a time.
+PARTS_AT_ONCE = 200
 SLACK = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -26,9 +35,18 @@ _SPACES = bytes(
 _word_hashes: dict[bytes, int] = {}
 
 
+# Scripts that put no spaces between words (Thai to Myanmar, Khmer, kana, Han): every character
+# counts as a word. Marks beyond ASCII end a word as those of ASCII do.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+_MARKS = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f\uff00-\uff0f\uff1a-\uff20\uff3b-\uff40]+")
+
+
 def words(text: str) -> list[bytes]:
-    """Lower-cased words without ASCII punctuation."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_SPACES).split()
+    """Lower-cased words without punctuation."""
+    text = text.lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", _MARKS.sub(" ", text))
+    return text.encode("utf-8", "surrogatepass").translate(_SPACES).split()
 
 
 def gram_hashes(parts: list[bytes], n: int) -> np.ndarray:
@@ -50,9 +68,10 @@ def gram_hashes(parts: list[bytes], n: int) -> np.ndarray:
 
 
 def item_parts(benchmark: DataFrame, item_col: str, text_col: str, n: int) -> DataFrame:
-    """item, part, part_text (normalised words), pos and gram of every n-gram of every item.
+    """item, part, part_text (normalised words), n, whole, pos and gram of every n-gram.
 
-    Items longer than PART_WORDS are cut into parts that overlap by half.
+    Items longer than PART_WORDS are cut into parts that overlap by half. An item of n words
+    or fewer has one gram that is the whole of it.
     """
     rows = id_and_text(benchmark, item_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
@@ -66,39 +85,81 @@ def item_parts(benchmark: DataFrame, item_col: str, text_col: str, n: int) -> Da
                 for part, start in enumerate(starts):
                     these = all_words[start:start + PART_WORDS]
                     joined = b" ".join(these).decode("utf-8", "replace")
-                    grams = gram_hashes(these, n).tolist()
-                    out += [(item, part, joined, pos, g) for pos, g in enumerate(grams)]
-            kinds = [batch.column("id").type, pa.int32(), pa.string(), pa.int32(), pa.int64()]
-            arrays = [pa.array([r[k] for r in out], kinds[k]) for k in range(5)]
-            yield pa.RecordBatch.from_arrays(arrays, ["item", "part", "part_text", "pos", "gram"])
+                    size = min(n, len(these))
+                    if size:
+                        grams = gram_hashes(these, size).tolist()
+                        out += [(item, part, joined, size, len(grams) == 1, pos, g)
+                                for pos, g in enumerate(grams)]
+            kinds = [batch.column("id").type, pa.int32(), pa.string(), pa.int32(), pa.bool_(),
+                     pa.int32(), pa.int64()]
+            arrays = [pa.array([r[k] for r in out], kinds[k]) for k in range(len(kinds))]
+            yield pa.RecordBatch.from_arrays(
+                arrays, ["item", "part", "part_text", "n", "whole", "pos", "gram"])
 
-    return rows.mapInArrow(run, f"item {id_type}, part int, part_text string, pos int, gram long")
+    return rows.mapInArrow(
+        run, f"item {id_type}, part int, part_text string, n int, whole boolean, pos int, gram long")
 
 
-def gram_hits(docs: DataFrame, bits: bytes, n: int) -> DataFrame:
-    """id, key, gram and pos of the documents' n-grams a filter lets pass."""
-    id_type = docs.schema["id"].dataType.simpleString()
+def gram_hits(docs: DataFrame, bits: bytes, sizes: list[int]) -> DataFrame:
+    """key, gram and pos of the texts' n-grams, of each size, that a filter lets pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, grams = [], [], []
+            rows, places, grams = ([np.zeros(0, np.int64)] for _ in range(3))
             texts = batch.column("text")
             for i in range(len(texts)):
-                found = gram_hashes(words(texts[i].as_py()), n)
-                at = np.flatnonzero(may_hold(bits, found))
-                if len(at):
-                    rows.append(np.full(len(at), i))
-                    places.append(at)
-                    grams.append(found[at])
-            take = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-            whole = [np.concatenate(x) if x else np.zeros(0, k) for x, k in (
-                (grams, np.int64), (places, np.int64))]
+                parts = words(texts[i].as_py())
+                for n in sizes:
+                    found = gram_hashes(parts, n)
+                    at = np.flatnonzero(may_hold(bits, found))
+                    if len(at):
+                        rows.append(np.full(len(at), i))
+                        places.append(at)
+                        grams.append(found[at])
+            take = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(take), batch.column("key").take(take), pa.array(whole[0]),
-                 pa.array(whole[1].astype(np.int32))],
-                ["id", "key", "gram", "pos"])
+                [batch.column("key").take(take), pa.array(np.concatenate(grams)),
+                 pa.array(np.concatenate(places).astype(np.int32))],
+                ["key", "gram", "pos"])
 
-    return docs.mapInArrow(run, f"id {id_type}, key long, gram long, pos int")
+    return docs.select("key", "text").mapInArrow(run, "key long, gram long, pos int")
+
+
+def seeded_places(hits: DataFrame, items: DataFrame) -> DataFrame:
+    """key, item, part, part_text and diagonal of every seed that texts and items share.
+
+    A rare n-gram is a seed by itself. Two frequent ones are a seed where an item has the same
+    two as far apart, so that a phrase which many texts and items hold gives no rows alone.
+    Equal texts count as one, so copies make no n-gram frequent. An item that is a single
+    gram is looked for by that.
+    """
+    texts = hits.select("gram", "key").distinct().groupBy("gram").agg(F.count("key").alias("texts"))
+    parts = items.groupBy("gram").agg(
+        F.count_distinct("item", "part").alias("parts"))
+    kinds = written(parts.join(texts, "gram").select(
+        "gram", ((F.col("texts") <= RARE_TEXTS) & (F.col("parts") <= RARE_PARTS)).alias("rare")))
+    seeds = items.select(
+        "item", "part", "part_text", F.col("pos").alias("at"), "gram", "whole").join(kinds, "gram")
+    alone = hits.join(seeds.where("rare OR whole").drop("rare", "whole"), "gram").select(
+        "key", "item", "part", "part_text", (F.col("pos") - F.col("at")).alias("diagonal"))
+
+    frequent = written(hits.join(kinds.where("NOT rare").select("gram"), "gram"))
+    steps = F.explode(F.sequence(F.lit(1), F.lit(REACH))).alias("step")
+    first = frequent.select("key", "pos", F.col("gram").alias("one"), steps).withColumn(
+        "next", F.col("pos") + F.col("step"))
+    second = frequent.select("key", F.col("pos").alias("next"), F.col("gram").alias("other"))
+    in_texts = first.join(second, ["key", "next"]).select("key", "pos", "one", "other", "step")
+    common = seeds.where("NOT rare").drop("rare", "whole")
+    ahead = common.select(
+        F.col("item").alias("same_item"), F.col("part").alias("same_part"),
+        F.col("at").alias("next"), F.col("gram").alias("other"))
+    in_items = common.withColumnRenamed("gram", "one").select("*", steps).join(
+        ahead, F.col("item").eqNullSafe(F.col("same_item")) & (F.col("part") == F.col("same_part"))
+        & (F.col("at") + F.col("step") == F.col("next"))
+    ).select("item", "part", "part_text", "at", "one", "other", "step")
+    paired = in_texts.join(in_items, ["one", "other", "step"]).select(
+        "key", "item", "part", "part_text", (F.col("pos") - F.col("at")).alias("diagonal"))
+    return alone.unionByName(paired)
 
 
 def _only(rows: DataFrame, bits: bytes) -> DataFrame:
@@ -144,23 +205,25 @@ def best_alignment(item: list[bytes], text: list[bytes], diagonals: list[int], l
     """The best alignment of an item near the diagonals its seeds lie on: score from 0 to 1,
     matched words, start and stop among the words of the text.
 
-    Passages that share too few words with the item to reach `least` matches are left out.
+    Seeds up to the item's length apart in their diagonals are aligned together, as words put
+    into a copy move what follows; more of them would cost a copy half its score. Passages
+    that share too few words with the item to reach `least` matches are left out.
     """
     best = (0.0, 0, 0, 0)
     bag = Counter(item)
     diagonals = sorted(diagonals)
-    at = 0
-    while at < len(diagonals):
-        low = high = diagonals[at]
-        while at < len(diagonals) and diagonals[at] - low <= len(item) and diagonals[at] - high <= SLACK:
-            high = diagonals[at]
-            at += 1
+    done = 0
+    for first, low in enumerate(diagonals):
+        after = bisect_right(diagonals, low + len(item), first)
+        if after <= done:
+            continue  # all of these have been aligned together with an earlier one
+        done = after
         start = max(0, low - SLACK)
-        passage = text[start:high + len(item) + SLACK]
+        passage = text[start:diagonals[after - 1] + len(item) + SLACK]
         if (bag & Counter(passage)).total() < least:
             continue
-        score, matched, first, stop = align(item, passage)
-        best = max(best, (score / (MATCH * len(item)), matched, start + first, start + stop))
+        score, matched, begin, stop = align(item, passage)
+        best = max(best, (score / (MATCH * len(item)), matched, start + begin, start + stop))
     return best
 
 
@@ -171,40 +234,42 @@ def contaminated(
 ) -> DataFrame:
     """The documents that hold a benchmark item or an edited copy of it, and where.
 
-    Every n-gram of an item is a seed, however many documents hold it: other copies of the
-    item must not decide which of its n-grams an edited copy is looked for by. Where a seed
-    meets a document, the item is aligned with the words around (match 2, mismatch and gap -1). The score is the alignment's share
-    of a perfect one; `least_score`, and `least_matched` words or the whole of a shorter
-    item, make a document contaminated. Long items are tested in parts, documents whole.
+    Rare n-grams of an item are seeds, and frequent ones in pairs (see seeded_places). Where
+    seeds meet a text, the item is aligned with the words around (match 2, mismatch and gap
+    -1). The score is the alignment's share of a perfect one; `least_score`, and
+    `least_matched` words or the whole of a shorter item, make a document contaminated. Long
+    items are tested in parts, documents whole. A copy that shares no n-gram with the item is
+    not found.
 
     Document n-grams pass a filter of fixed size (1 MB) where they are read, so that few
     rows are shuffled; the join behind it is exact. Returns id, key (a hash of the text),
     item, score, matched, start, stop and passage, the best part of each item.
 
-    Null texts are empty texts. Items of fewer than n words are too short to tell and match
-    nothing. Rows that repeat an id and a text give one row. Null ids are kept. Either table
-    may be empty. Extra columns are ignored.
+    Null texts are empty texts; items without words match nothing. Items of fewer than n
+    words are looked for as they are. Rows that repeat an id and a text give one row. Null
+    ids are kept. Either table may be empty. Extra columns are ignored.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
     items = written(item_parts(benchmark, item_col, item_text_col, n))
     bits = key_filter(items.select(F.col("gram").alias("key")))
+    sizes = sorted(r["n"] for r in items.select("n").distinct().collect())  # n and less
     grams = items.select("gram").distinct()
-    hits = written(gram_hits(rows, bits, n).join(grams, "gram", "left_semi"))
-    seeds = items.select("item", "part", "part_text", F.col("pos").alias("at"), "gram")
-    near = hits.join(seeds, "gram").select(
-        "id", "key", "item", "part", "part_text", (F.col("pos") - F.col("at")).alias("diagonal"))
-    # At most one diagonal per word of a document and item that shares a seed there.
+    hits = written(gram_hits(rows, bits, sizes).dropDuplicates().join(grams, "gram", "left_semi"))
+    # At most one diagonal per word of a text and item that shares a seed there.
+    near = written(
+        seeded_places(hits, items).groupBy("key", "item", "part", "part_text")
+        .agg(F.collect_set("diagonal").alias("diagonals")))
+    # The items of a text come in portions, so that no row holds all of them.
+    portions = near.groupBy("key").agg(F.ceil(F.count("part") / PARTS_AT_ONCE).alias("portions"))
     places = written(
-        near.groupBy("id", "key", "item", "part", "part_text")
-        .agg(F.collect_set("diagonal").alias("diagonals"))
-        .groupBy("id", "key")
+        near.join(portions, "key")
+        .groupBy("key", F.pmod(F.xxhash64("item"), F.col("portions")).alias("portion"))
         .agg(F.collect_list(F.struct("item", "part", "part_text", "diagonals")).alias("places"))
     )
     few = key_filter(places.select("key"))
-    wanted = places.select(F.col("id").alias("__pc_id"), F.col("key").alias("__pc_key"), "places")
+    wanted = places.select(F.col("key").alias("__pc_key"), "places")
     texts = _only(rows.select("id", "text", "key"), few).join(
-        wanted, F.col("id").eqNullSafe(F.col("__pc_id")) & (F.col("key") == F.col("__pc_key"))
-    ).select("id", "key", "text", "places")
+        wanted, F.col("key") == F.col("__pc_key")).select("id", "key", "text", "places")
     types = {"id": rows.schema["id"].dataType.simpleString(),
              "item": items.schema["item"].dataType.simpleString()}
     schema = (f"id {types['id']}, key long, item {types['item']}, score double, matched int, "
