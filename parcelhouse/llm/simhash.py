@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from parcelhouse.llm.common import id_and_text, table, tokens, written
 
 QUARTER = 16
+# Fingerprints of a tile, with its guests, that are compared in one piece.
+TILE_ROWS = 1 << 16
 BLOCK = 1 << 22
 ROUNDS = 200
 
@@ -109,11 +111,14 @@ def _merged(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return labels
 
 
-def _tile_forest(home: np.ndarray, guests: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _tile_forest(
+    home: np.ndarray, guests: np.ndarray, radius: int, within: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what the pairs within a tile and with its guests connect."""
     nodes = np.concatenate([home, guests])
     labels = np.arange(len(nodes))
-    for left, right, shift in ((home, home, 0), (home, guests, len(home))):
+    pairs = [(home, home, 0)] if within else []
+    for left, right, shift in [*pairs, (home, guests, len(home))]:
         for i, j in _close_pairs(left, right, radius):
             if len(i):
                 labels = _merged(labels, i, j + shift)
@@ -123,12 +128,16 @@ def _tile_forest(home: np.ndarray, guests: np.ndarray, radius: int) -> tuple[np.
     return nodes[linked], nodes[labels[linked]]
 
 
-def links(distinct: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) between different fingerprints, enough to connect all within the radius.
+def dealt_tiles(distinct: DataFrame, radius: int) -> DataFrame:
+    """cell, guest and fp: which fingerprints are compared together.
 
     Each fingerprint goes to its own tile and as a guest to the neighbours on one side, a
-    number that depends on the radius only. A tile is compared whole; what it returns is a
-    forest, so that a dense group gives no more links than it has members.
+    number that depends on the radius only. A tile of more than TILE_ROWS of both is dealt by
+    a hash into blocks of about that size, and each pair of blocks (i, j) is a cell of its
+    own: block i of the tile's fingerprints meets block j of its guests and, where i < j, its
+    own block j as further guests. In the cell (i, i) block i is also compared within itself.
+    So each pair meets once, and no cell holds more than three blocks, however many
+    fingerprints a tile has. A tile's number is below 2**24, that of a block below 2**16.
     """
     counts = [
         F.bit_count(F.shiftrightunsigned("fp", QUARTER * q).bitwiseAND(0xFFFF)) for q in range(4)
@@ -142,37 +151,62 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
         for step in steps
     ])
     dealt = distinct.select("fp", F.explode(tiles).alias("t")).select("t.tile", "t.guest", "fp")
+    # A row per large tile: there are at most 64**4 tiles, and as many as fingerprints allow.
+    large = dealt.groupBy("tile").agg(F.ceil(F.count("fp") / TILE_ROWS).alias("blocks")).where(
+        "blocks > 1")
+    blocked = dealt.join(F.broadcast(large), "tile", "left").withColumn(
+        "block", F.coalesce(F.pmod(F.xxhash64("fp"), "blocks"), F.lit(0)))
+    cells = F.expr("""
+        CASE WHEN blocks IS NULL THEN array(struct(0L AS i, 0L AS j, guest AS guest))
+             WHEN guest THEN transform(sequence(0L, blocks - 1), i -> struct(i AS i, block AS j, true AS guest))
+             ELSE concat(
+                transform(sequence(0L, blocks - 1), j -> struct(block AS i, j AS j, false AS guest)),
+                transform(filter(sequence(0L, blocks - 1), i -> i < block),
+                          i -> struct(i AS i, block AS j, true AS guest))) END""")
+    return blocked.select("tile", "fp", F.explode(cells).alias("c")).select(
+        (F.col("tile") * 2 ** 32 + F.col("c.i") * 2 ** 16 + F.col("c.j")).cast("long").alias("cell"),
+        "c.guest", "fp")
+
+
+def links(distinct: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) between different fingerprints, enough to connect all within the radius.
+
+    Each cell of dealt_tiles is compared whole; what it returns is a forest, so that a dense
+    group gives no more links than it has members in the cell.
+    """
     partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_tiles = dealt.repartition(partitions, "tile").sortWithinPartitions("tile", "guest", "fp")
+    sorted_tiles = dealt_tiles(distinct, radius).repartition(
+        partitions, "cell").sortWithinPartitions("cell", "guest", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compared(parts: list[tuple[np.ndarray, np.ndarray]]):
+        def compared(cell: int, parts: list[tuple[np.ndarray, np.ndarray]]):
             guest = np.concatenate([g for g, _ in parts])
             fps = np.concatenate([f for _, f in parts])
             home = fps[~guest]
             if len(home) == 0 or len(fps) < 2:
                 return None
-            a, b = _tile_forest(home, fps[guest], radius)
+            within = cell >> 16 & 0xFFFF == cell & 0xFFFF
+            a, b = _tile_forest(home, fps[guest], radius, within)
             if not len(a):
                 return None
             return pa.RecordBatch.from_arrays(
                 [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-        open_tile, parts = None, []
+        open_cell, parts = None, []
         for batch in batches:
-            tile = batch.column("tile").to_numpy()
+            cell = batch.column("cell").to_numpy()
             guest = batch.column("guest").to_numpy(zero_copy_only=False).astype(bool)
             fps = batch.column("fp").to_numpy().view(np.uint64)
-            cuts = [0, *(np.flatnonzero(np.diff(tile)) + 1).tolist(), len(tile)]
+            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
             for start, stop in zip(cuts, cuts[1:]):
                 if start == stop:
                     continue
-                if tile[start] != open_tile:
-                    if parts and (out := compared(parts)) is not None:
+                if cell[start] != open_cell:
+                    if parts and (out := compared(open_cell, parts)) is not None:
                         yield out
-                    open_tile, parts = tile[start], []
+                    open_cell, parts = int(cell[start]), []
                 parts.append((guest[start:stop], fps[start:stop]))
-        if parts and (out := compared(parts)) is not None:
+        if parts and (out := compared(open_cell, parts)) is not None:
             yield out
 
     return sorted_tiles.mapInArrow(run, "a long, b long")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.llm.exact_dedup import exact_dedup, exact_groups, key_filter, may_hold, passes
 from parcelhouse.llm.line_dedup import line_dedup
+from parcelhouse.llm import simhash
 from parcelhouse.llm.simhash import (
     _close_pairs, components, fingerprint, near_dedup, simhash_groups)
 
@@ -117,6 +118,46 @@ def test_simhash_components(documents):
     assert sorted(r["doc_id"] for r in kept) == sorted({x for x in label.values()})
 
 
+def linked_sets(edges):
+    root = {}
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in edges:
+        root[find(a)] = find(b)
+    found = {}
+    for x in list(root):
+        found.setdefault(find(x), set()).add(x)
+    return {frozenset(s) for s in found.values()}
+
+
+@pytest.mark.parametrize("tile_rows", [7, 40, 1 << 16])
+def test_links_of_a_tile_with_a_third_of_all(text_spark, monkeypatch, tile_rows):
+    """A third of the fingerprints lie in one tile; it is compared in cells of bounded size."""
+    monkeypatch.setattr(simhash, "TILE_ROWS", tile_rows)
+    rng = np.random.default_rng(5)
+    spread = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    near = [f ^ np.uint64(1 << int(a)) ^ np.uint64(1 << int(b)) for f in spread[:150] for a, b in [rng.integers(0, 63, 2)]]
+    base = np.uint64(0x00FF00FF00FF00FF)
+    crowd = set()
+    while len(crowd) < 300:  # two bits cleared and two set in one quarter: the counts stay
+        a, b = rng.choice(8, 2, replace=False), 8 + rng.choice(8, 2, replace=False)
+        q = 16 * int(rng.integers(0, 4))
+        flips = sum(1 << (q + int(x)) for x in (*a, *b))
+        crowd.add(int(base) ^ flips)
+    fps = np.unique(np.concatenate([spread, near, np.array(sorted(crowd), np.uint64)]))
+    rows = text_spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    if tile_rows < 100:
+        cells = simhash.dealt_tiles(rows, 2).groupBy("cell").count()
+        assert cells.agg(F.max("count")).first()[0] <= 3 * tile_rows + 12 * tile_rows ** 0.5
+    found = [(r["a"], r["b"]) for r in simhash.links(rows, 2).collect()]
+    distance = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    close = {(int(fps.view(np.int64)[i]), int(fps.view(np.int64)[j]))
+             for i, j in zip(*np.nonzero(distance <= 2)) if i < j}
+    assert linked_sets(found) == linked_sets(close) and len(close) > 300
+
+
 def test_components_of_a_long_chain(text_spark):
     edges = text_spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     found = components(edges)
