@@ -12,7 +12,7 @@ import os
 import time
 
 from parcelhouse.plans import audits, pipeline
-from parcelhouse.queries import QUERIES
+from parcelhouse.queries import QUERIES, built
 from parcelhouse.session import local_session, scratch_dir
 from parcelhouse.sources.csv_files import CsvTables, write_csv
 from parcelhouse.sources.driver_tables import RawTables
@@ -40,6 +40,9 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     seconds: dict[str, float] = {}
 
+    # The warehouse that the dq_ queries read is built once and timed by itself.
+    seconds["dq_stored_build"] = timed(lambda: built(spark, folder))
+
     for name in HEADLINE:
         def run(name=name):
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
