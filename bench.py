@@ -59,8 +59,8 @@ def main() -> None:
     seconds["full_pipeline_from_csv"] = timed(
         lambda: pipeline.run(spark, CsvTables(spark, files), root)
     )
-    built = Store(spark, root)
-    raw = audits.row_counts(built.read, [t.name for t in in_layer("raw")])
+    store = Store(spark, root)
+    raw = audits.row_counts(store.read, [t.name for t in in_layer("raw")])
     raw_rows = raw.groupBy().sum("rows").first()[0]
 
     print(json.dumps({
