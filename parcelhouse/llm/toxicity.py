@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -9,7 +10,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -18,7 +18,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import id_and_text, table
+from parcelhouse.llm.common import id_and_text, table, written
 from parcelhouse.llm.labelled import held_out, training_sample
 
 FEATURES = (
@@ -189,6 +189,25 @@ def _margins(trees: GBTClassificationModel, featured: DataFrame) -> DataFrame:
         "margin", vector_to_array("rawPrediction")[1]).drop("rawPrediction", "probability", "prediction")
 
 
+def _measured_sample(
+    pairs: list[tuple[str, int]],
+) -> tuple[Lexicon, list[list[float]], list[list[float]]]:
+    """A lexicon, and label and FEATURES of the texts for the trees and for the calibration."""
+    fit, rest = [p for i, p in enumerate(pairs) if i % 4], pairs[::4]
+
+    def learned(part: list[tuple[str, int]]) -> Lexicon:
+        return Lexicon.learn([t for t, _ in part], [y for _, y in part])
+
+    def measured(part: list[tuple[str, int]], by: Lexicon) -> list[list[float]]:
+        return [[float(y), *features(t, by)] for t, y in part]
+
+    # Each half is measured by the lexicon of the other one, as its own would look too good.
+    first, second = fit[::2], fit[1::2]
+    crossed = measured(first, learned(second)) + measured(second, learned(first))
+    lexicon = learned(fit)
+    return lexicon, crossed, measured(rest, lexicon)
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
     text_col: str = "text", rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES,
@@ -198,31 +217,43 @@ def fit_toxicity(
     Three quarters of the sample give the lexicon and the trees, one quarter the calibration.
     The trees see each half of theirs as a lexicon of the other half measures it.
     Without both labels in the sample the score is a constant.
-    """
-    spark = docs.sparkSession
-    sample = training_sample(docs, labels, label, rows, most_bytes, id_col, text_col).collect()
-    pairs = [(r["text"], r["label"]) for r in sample]
-    fit, rest = [p for i, p in enumerate(pairs) if i % 4], pairs[::4]
-    lexicon = Lexicon.learn([t for t, _ in fit], [y for _, y in fit])
-    if len({y for _, y in fit}) < 2 or len({y for _, y in rest}) < 2:
-        share = sum(y for _, y in pairs) / len(pairs) if pairs else 0.0
-        return ToxicityModel(lexicon, None, None, share)
-
-    def measured(part: list[tuple[str, int]], by: Lexicon) -> list[list[float]]:
-        return [[float(y), *features(t, by)] for t, y in part]
 
-    def frame(rows_: list[list[float]]) -> DataFrame:
-        # A bounded sample, in few partitions.
-        values = pd.DataFrame(np.array(rows_, np.float64), columns=["label", *FEATURES])
-        return spark.createDataFrame(values).coalesce(2)
+    One task reads the sampled texts, learns the lexicon and measures the FEATURES, and a lost
+    executor only repeats it; the driver receives the lexicon and the trees are fitted on rows
+    of features. Of several labels of a document the largest counts. Null labels, ids and texts
+    take no part, empty texts do; an empty sample gives the score 0.
+    """
+    sample = training_sample(docs, labels, label, rows, most_bytes, id_col, text_col)
+    plan = ", ".join(f"{c} double" for c in ("label", *FEATURES))
 
-    # Each half is measured by the lexicon of the other one, as its own would look too good.
-    halves = [fit[::2], fit[1::2]]
-    learned = [Lexicon.learn([t for t, _ in h], [y for _, y in h]) for h in halves]
-    crossed = measured(halves[0], learned[1]) + measured(halves[1], learned[0])
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(frame(crossed))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: list[tuple[str, int]] = []
+        for batch in batches:
+            pairs += zip(batch.column("text").to_pylist(), batch.column("label").to_pylist())
+        lexicon, fitted, rest = _measured_sample(pairs)
+        found = [("fit", r) for r in fitted] + [("rest", r) for r in rest]
+        # The lexicon goes with one row more, whose features nobody reads.
+        found.append((json.dumps([lexicon.words, lexicon.stems]), [0.0] * (1 + len(FEATURES))))
+        values = np.array([r for _, r in found], np.float64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part for part, _ in found], pa.string())]
+            + [pa.array(values[:, k]) for k in range(values.shape[1])],
+            ["part", "label", *FEATURES])
+
+    # Written, as each round of the trees reads it and the texts must be measured once only.
+    measured = written(sample.coalesce(1).mapInArrow(run, f"part string, {plan}"))
+    stored = measured.where("part not in ('fit', 'rest')").collect()
+    lexicon = Lexicon(*json.loads(stored[0]["part"])) if stored else Lexicon({})
+    fitted, rest = measured.where("part = 'fit'"), measured.where("part = 'rest'")
+    counts = {
+        (r["part"], r["label"]): r["n"] for r in measured.where("part in ('fit', 'rest')")
+        .groupBy("part", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 4:
+        share = sum(n for (_, y), n in counts.items() if y) / max(1, sum(counts.values()))
+        return ToxicityModel(lexicon, None, None, share)
+    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(fitted)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(assembled)
-    margins = _margins(trees, frame(measured(rest, lexicon))).select("label", "margin")
+    margins = _margins(trees, rest).select("label", "margin")
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins)
     return ToxicityModel(lexicon, trees, calibration)
 
