@@ -90,7 +90,7 @@ _PART = (
 _LINKS = r"(?:(?:von|van|vom|zu|zum|der|den|de|del|della|la|las|los|le|da|das|di|do|dos|du|el) ){0,3}"
 _NAME = rf"{_LINKS}{_PART}(?: {_LINKS}{_PART})*"
 _FREE_NAME = rf"[{_FREE}]{{2,}}(?: [{_FREE}]{{2,}})?(?![{_FREE}])"
-ENTITY = re.compile(
+FORMATS = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d))"
     r"|(?P<ipv6>(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
@@ -104,14 +104,18 @@ ENTITY = re.compile(
     r"|(?P<card>(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
     r"|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4}"
-    r"|(?<![,:/-])0(?:\d(?:[ .]\d{2}){4}|\d{2,4}[ /-]\d{3,4}(?:[ -]?\d{2,4}){1,2}))(?!\w))"
-    rf"|(?P<person>(?<!\w)(?:(?P<title>(?:(?:{_TITLES})\.? )+)(?P<titled>{_NAME}|{_FREE_NAME})"
+    r"|(?<![,:/-])0(?:\d(?:[ .]\d{2}){4}|\d{2,4}[ /-]\d{3,4}(?:[ -]?\d{2,4}){1,2}))(?!\w))")
+NAMES = re.compile(
+    rf"(?<!\w)(?:(?P<title>(?:(?:{_TITLES})\.? )+)(?P<titled>{_NAME}|{_FREE_NAME})"
     rf"|(?:{_CUES}) ?(?P<cued>{_NAME}|{_FREE_NAME})"
     rf"|(?P<full>(?:{_GIVENS})(?: {_LINKS}{_PART})+))"
-    rf"|(?P<before>[{_HAN}]{{2,3}}|(?<!\w)[{_HANGUL}]{{2,4}})(?P<suffix>{_SUFFIXES}))")
-KINDS = ("email", "ip", "ipv6", "secret", "key", "iban", "national", "card", "phone")
+    rf"|(?P<before>[{_HAN}]{{2,3}}|(?<!\w)[{_HANGUL}]{{2,4}})(?P<suffix>{_SUFFIXES})")
+# What a text with an entity of either sort holds; found fast, as most texts hold neither.
 _HINT = re.compile(r"[0-9@]")
-_NAME_HINT = re.compile(rf"(?<!\w)(?:(?:{_TITLES}|{_GIVENS})(?!\w)|{_CUES})|[{_HAN}{_HANGUL}] ?(?:{_SUFFIXES})")
+_NAME_HINT = re.compile(rf"(?:{_TITLES}|{_GIVENS})(?!\w)")
+_CUE_HINTS = (
+    "y name is", "ch heiße", "ein Name ist", "appelle", "e llamo", "еня зовут", "ame:", "Contact:", "Patient:",
+    "Customer:", "Signed:", "Kontakt:", "Nom:", "Nombre:", "Имя:", *SUFFIXES)
 
 
 def _digits(text: str) -> str:
@@ -146,7 +150,7 @@ def _person(
 
 
 def _named(m: re.Match, common: frozenset[str]) -> list[tuple[int, int, str, str]]:
-    """The parts of the name that a match of ENTITY found by its title, cue or given name."""
+    """The parts of the name that a match of NAMES found by its title, cue or given name."""
     if m["title"]:
         told = [TITLES[t.rstrip(".")] for t in m["title"].split()]
         gender = next((g for g in told if g != "u"), "u")
@@ -159,6 +163,24 @@ def _named(m: re.Match, common: frozenset[str]) -> list[tuple[int, int, str, str
     return list(_person(m.start("full"), m["full"], GENDERS[m["full"].split(" ")[0]], common))
 
 
+def _formatted(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """The entities of a text that FORMATS describe."""
+    for m in FORMATS.finditer(text):
+        kind, value = m.lastgroup, m[0]
+        if kind == "email" or kind == "secret":
+            value = value.lower()
+        elif kind == "ipv6":
+            try:
+                value = ipaddress.IPv6Address(value).exploded
+            except ValueError:
+                continue
+        elif kind == "iban":
+            value = value.replace(" ", "")
+        elif kind in ("card", "phone", "national"):
+            value = _digits(value)
+        yield m.start(), m.end(), kind, value
+
+
 def mentions(
     text: str, common: frozenset[str] = frozenset()
 ) -> list[tuple[int, int, str, str]]:
@@ -169,34 +191,26 @@ def mentions(
     entities where they stand alone in the same text, capitalised, if they are no `common` words.
     The gender in the kind of a given name is what this mention tells.
     """
-    if not (_HINT.search(text) or _NAME_HINT.search(text)):
-        return []
-    out: list[tuple[int, int, str, str]] = []
+    out = list(_formatted(text)) if _HINT.search(text) else []
+    if not (_NAME_HINT.search(text) or any(cue in text for cue in _CUE_HINTS)):
+        return out
+    held = [(start, stop) for start, stop, _, _ in out]
     names: dict[str, str] = {}
-    at = 0
-    while m := ENTITY.search(text, at):
-        kind, at = m.lastgroup if m.lastgroup in KINDS else "person", m.end()
-        if kind == "email" or kind == "secret":
-            out.append((m.start(), m.end(), kind, m[0].lower()))
-        elif kind == "ip" or kind == "key":
-            out.append((m.start(), m.end(), kind, m[0]))
-        elif kind == "ipv6":
-            try:
-                out.append((m.start(), m.end(), kind, ipaddress.IPv6Address(m[0]).exploded))
-            except ValueError:
-                pass
-        elif kind == "iban":
-            out.append((m.start(), m.end(), kind, m[0].replace(" ", "")))
-        elif kind in ("card", "phone", "national"):
-            out.append((m.start(), m.end(), kind, _digits(m[0])))
-        else:
-            found = _named(m, common)
-            out += found
-            # What the name does not hold is looked through again.
-            at = found[-1][1]
-            for _, _, part, value in found:
-                if part != "initial" and value not in common:
-                    names.setdefault(value, part)
+    at = k = 0
+    while m := NAMES.search(text, at):
+        while k < len(held) and held[k][1] <= m.start():
+            k += 1
+        if k < len(held) and held[k][0] <= m.start():
+            # Within an address or a number.
+            at = held[k][1]
+            continue
+        found = _named(m, common)
+        out += found
+        # What the name does not hold is looked through again.
+        at = found[-1][1]
+        for _, _, part, value in found:
+            if part != "initial" and value not in common:
+                names.setdefault(value, part)
     if not names:
         return out
     # Nothing parts words in Han script.
@@ -204,6 +218,7 @@ def mentions(
     bare = re.compile("|".join(
         re.escape(n) if dense.fullmatch(n) else rf"(?<!\w){re.escape(n)}(?!\w)"
         for n in sorted(names, key=len, reverse=True)), re.I)
+    out.sort()
     spans, alone, at = list(out), [], 0
     for m in bare.finditer(text):
         while at < len(spans) and spans[at][1] <= m.start():
