@@ -76,6 +76,23 @@ def test_dominant_group_is_spread(spark, lines):
     assert len(held) > 1 and max(held) < 0.7 * sum(held)
 
 
+def test_bounds_of_small_ranges_are_not_broadcast(spark, lines):
+    """There are as many bounds as rows over the limit, so only large limits make them few."""
+    spread = number_within(lines, "k", ORDER, "n", 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in spread
+    few = number_within(lines, "k", ORDER, "n", 5_000_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in few
+
+
+@pytest.mark.parametrize("limit", [2, 300, 5_000_000])
+def test_rows_without_a_key_are_numbered_too(lines, limit):
+    some = lines.withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    window = Window.partitionBy("k").orderBy(*ORDER)
+    expected = some.withColumn("n", F.row_number().over(window).cast("bigint"))
+    got = number_within(some, "k", ORDER, "n", limit)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
 def jobs_of(spark, action):
     """What an action returns and how many jobs it ran."""
     context, group = spark.sparkContext, f"jobs-{uuid.uuid4()}"
