@@ -245,3 +245,17 @@ def test_points_get_distinct_ids(spark, tmp_path):
     df = raw_table(spark, "geolocation", path)
     assert df.select(F.countDistinct("geolocation_id")).first()[0] == 50
     assert df.first()["geolocation_lat"] == Decimal("-23.5456213")
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_records_across_runs_of_lines(spark, tmp_path, monkeypatch, bits):
+    """Lines are judged in short runs, wherever a text begins and ends."""
+    monkeypatch.setattr("parcelhouse.sources.csv_files.RUN_BITS", bits)
+    texts = [f'"{"x" * n}\n""{n}"",\n\nend"' if n % 3 else f"plain {n}" for n in range(40)]
+    body = "".join(f"r{n},o{n},5,t,{t},,\n" for n, t in enumerate(texts))
+    df = long_records(spark, write(tmp_path, "a.csv", REVIEW_HEADER + body))
+    expected = {
+        (f"r{n}", f'{"x" * n}\n"{n}",\n\nend' if n % 3 else f"plain {n}") for n in range(40)}
+    assert rows(df, "review_id", "review_comment_message") == expected
+    partitions = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright" in partitions or ">>" in partitions
