@@ -363,3 +363,24 @@ def test_failed_check_stops_the_run_and_keeps_the_old_tables(spark, small, built
 def test_wrong_row_count_fails_the_run(spark, small, root):
     with pytest.raises(pipeline.PipelineFailed, match="Row counts: .*raw.sellers"):
         pipeline.run(spark, RawTables(spark, small), root, expected={"raw.sellers": 0}, constraints=False)
+
+
+def test_merged_facts_are_computed_once(spark, small, monkeypatch):
+    """What comes in is read from what was written; the fact's plan runs a single time."""
+    from parcelhouse import queries
+    from parcelhouse.sources import driver_tables
+
+    number = driver_tables.number_within
+    monkeypatch.setattr(driver_tables, "number_within", lambda lines, *how: number(
+        lines.withColumn("order_id", passed(F.col("order_id"))), *how))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(order_id):
+        seen.add(1)
+        return order_id
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    queries.QUERIES["upsert_fact_order_items"](spark, small).count()
+    # Bounds, sizes and numbers each read the lines.
+    assert seen.value <= 3 * lines
