@@ -6,13 +6,16 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 import pytest
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from comparing import rows
+from parcelhouse import queries
 from parcelhouse.operators.upsert import upsert
 from parcelhouse.plans import facts, pipeline
 from parcelhouse.plans.warehouse import Warehouse
 from parcelhouse.session import scratch_dir
+from parcelhouse.sources import driver_tables
 from parcelhouse.sources.csv_files import CsvTables, write_csv
 from parcelhouse.sources.driver_tables import RawTables
 from parcelhouse.sources.shared_files import listed, put_if_absent
@@ -367,9 +370,6 @@ def test_wrong_row_count_fails_the_run(spark, small, root):
 
 def test_merged_facts_are_computed_once(spark, small, monkeypatch):
     """What comes in is read from what was written; the fact's plan runs a single time."""
-    from parcelhouse import queries
-    from parcelhouse.sources import driver_tables
-
     number = driver_tables.number_within
     monkeypatch.setattr(driver_tables, "number_within", lambda lines, *how: number(
         lines.withColumn("order_id", passed(F.col("order_id"))), *how))
@@ -384,3 +384,12 @@ def test_merged_facts_are_computed_once(spark, small, monkeypatch):
     queries.QUERIES["upsert_fact_order_items"](spark, small).count()
     # Bounds, sizes and numbers each read the lines.
     assert seen.value <= 3 * lines
+
+
+def test_stored_files_take_the_denser_codec(spark, frame, root):
+    name, store = "staging.sellers", Store(spark, root)
+    draft = store.write(name, frame(name, *[{"seller_id": f"s{n}"} for n in range(50)]))
+    folder = f"{root}/{draft.parts[0].path}"
+    used = [parquet.ParquetFile(f"{folder.removeprefix('file:')}/{f}").metadata.row_group(0).column(0).compression
+            for f, _, _ in listed(spark, folder) if f.endswith(".parquet")]
+    assert set(used) == {"ZSTD"}
