@@ -4,7 +4,7 @@ import pytest
 
 from comparing import rows
 from parcelhouse.operators.keys import orphans
-from parcelhouse.plans import audits
+from parcelhouse.plans import audits, planted
 
 
 def only(frame, **given):
@@ -83,3 +83,18 @@ def test_orphans_of_few_children_are_the_same(spark):
     parent = spark.createDataFrame([(1,), (3,), (3,), (None,)], "p int")
     found = [rows(orphans(child, ["k"], parent, ["p"], few)) for few in (False, True)]
     assert found[0] == found[1] == {(2, 2), (9, 1)}
+
+
+def test_planted_copies_are_counted_beside_their_row(frame):
+    """Every row is read once, and its copies meet before the shuffle."""
+    items = [{"order_id": o, "order_item_id": n} for o, n in (("a", 1), ("a", 2), (None, 3), (None, None))]
+    tables = planted.with_repeated_keys(only(frame, order_items=items))
+    copies = tables("raw.order_items")
+    assert copies.columns == frame("raw.order_items").columns
+    found = sorted((str(r["order_id"]), str(r["order_item_id"])) for r in copies.collect())
+    assert found == sorted(
+        2 * [("a", "1"), ("a", "2")] + [("None", "1"), ("None", "2")]
+        + 3 * [("None", "3"), ("None", "None")])
+    assert "Union" not in copies._jdf.queryExecution().optimizedPlan().toString()
+    df = audits.primary_keys(tables, ["raw.order_items"])
+    assert rows(df) == {("raw.order_items", "order_id, order_item_id", 8, 2, 2)}
