@@ -146,3 +146,31 @@ def test_fan_out_equals_the_direct_join(frame):
         (("a", 1), ("a", 2), ("a", 3), ("b", 1), ("other", 1))])
     joined = items.join(paid.select("order_id"), "order_id").groupBy().sum("item_total_value").first()[0]
     assert rows(reports.fan_out(items, paid)) == {(Decimal("21.00"), joined, joined - Decimal("21.00"))}
+
+
+def test_orders_are_counted_without_their_money(frame):
+    """No row that stands for an order carries sums; a missing order counts as one."""
+    lost = [{**item(None, n, "p1", "2", "1")} for n in (1, 2)]
+    items = frame("analytics.fact_order_items", item("o1", 1, "p1", "10", "1"),
+                  item("o1", 2, "p1", "10", "2"), item("o2", 1, "p1", "10", "1"), *lost)
+    df = marts.category_performance(items, frame("analytics.dim_product", *PRODUCTS))
+    assert rows(df, "order_count", "item_count", "total_value") == {(3, 5, Decimal("40.00"))}
+    assert "Generate inline" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_states_are_looked_up_before_payments(frame):
+    """Orders travel to their customers without how they were paid; repeated ones stay apart."""
+    orders = frame("analytics.order_summary", order("o1", "c1", 20180101), order("o1", "c1", 20180101),
+                   order(None, "c2", 20180101), order("o3", None, 20180101), order("o4", "c1", 20180101))
+    people = frame("analytics.dim_customer", *[
+        {"customer_id": c, "customer_state": s} for c, s in (("c1", "SP"), ("c1", "RJ"), ("c2", "AM"))])
+    paid = frame("analytics.fact_payments", *[
+        {"order_id": o, "payment_sequential": n, "payment_type": "boleto", "payment_value": 1,
+         "payment_installments": 1} for o, n in (("o1", 1), ("o1", 2), (None, 1))])
+    df = marts.payment_analysis(orders, people, paid)
+    found = sorted((str(r["order_id"]), r["customer_state"], r["payment_count"]) for r in df.collect())
+    assert found == [("None", "AM", 0), ("o1", "RJ", 2), ("o1", "RJ", 2), ("o1", "SP", 2),
+                     ("o1", "SP", 2), ("o4", "RJ", 0), ("o4", "SP", 0)]
+    joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+             if "Join " in line]
+    assert "LeftOuter" in joins[0] and "Inner" in joins[1]

@@ -393,3 +393,26 @@ def test_stored_files_take_the_denser_codec(spark, frame, root):
     used = [parquet.ParquetFile(f"{folder.removeprefix('file:')}/{f}").metadata.row_group(0).column(0).compression
             for f, _, _ in listed(spark, folder) if f.endswith(".parquet")]
     assert set(used) == {"ZSTD"}
+
+
+def test_small_written_tables_are_broadcast_by_their_rows(spark, frame, root, monkeypatch):
+    """What is looked up is judged by the rows counted while it was written, not by its files."""
+    name, build = "staging.sellers", pipeline.Build(Store(spark, root), constraints=False)
+    drafts = build.write({name: lambda: frame(name, SELLER, {**SELLER, "seller_id": "t"})})
+    assert not build.store.has(name)
+    build.publish({}, written=drafts)
+
+    def joined(*how):
+        items = spark.range(5).selectExpr("if(id < 9, 's', 't') AS seller_id")
+        return items.join(build.lookup(name, *how), "seller_id")
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ((), (drafts,)):
+            assert joined(*how).count() == 5
+            assert "BroadcastHashJoin" in joined(*how)._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(pipeline, "LOOKUP_ROWS", 1)
+        assert "BroadcastHashJoin" not in joined()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
