@@ -93,6 +93,16 @@ def test_rows_without_a_key_are_numbered_too(lines, limit):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+def test_columns_that_only_spread_rows_are_not_shuffled(spark):
+    same = spark.range(5000).select(F.lit("a").alias("k"), F.lit(1).alias("v"), F.col("id").alias("place"))
+    got = number_within(same, "k", ["v"], "n", 100, ("place",))
+    assert got.columns == ["k", "v", "n"]
+    assert sorted(r["n"] for r in got.collect()) == list(range(1, 5001))
+    plan = number_within(same, "k", ["v"], "n", 1_000_000, ("place",))._jdf.queryExecution().optimizedPlan()
+    windows = [line for line in plan.toString().splitlines() if "Window [row_number" in line]
+    assert windows and not any("place" in line for line in windows)
+
+
 def jobs_of(spark, action):
     """What an action returns and how many jobs it ran."""
     context, group = spark.sparkContext, f"jobs-{uuid.uuid4()}"
