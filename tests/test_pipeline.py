@@ -386,6 +386,57 @@ def test_merged_facts_are_computed_once(spark, small, monkeypatch):
     assert seen.value <= 3 * lines
 
 
+def test_months_that_come_in_as_stored_are_not_dealt_again(spark, frame, root, monkeypatch):
+    name, store = "analytics.fact_orders", Store(spark, root)
+    whole = [("a", 20170105, "x"), ("b", 20170210, "x")]
+    store.publish({name: store.merge(name, bought(frame, *whole))})
+    dealt, write = [], Store.write
+
+    def counted(self, table, df, *how):
+        dealt.append(sorted(r["order_id"] for r in df.select("order_id").collect()))
+        return write(self, table, df, *how)
+
+    monkeypatch.setattr(Store, "write", counted)
+    before = store.current[name]
+    store.publish({name: store.merge(name, bought(frame, *whole))})
+    assert dealt == [] and store.current[name] == before
+    store.publish({name: store.merge(name, bought(frame, ("a", 20170105, "new"), whole[1]))})
+    assert dealt[0] == ["a"]
+    assert rows(store.read(name), "order_id", "order_status") == {("a", "new"), ("b", "x")}
+
+
+def test_several_runs_derive_their_source_once(spark, small, monkeypatch):
+    number = driver_tables.number_within
+    monkeypatch.setattr(driver_tables, "number_within", lambda lines, *how: number(
+        lines.withColumn("order_id", passed(F.col("order_id"))), *how))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(order_id):
+        seen.add(1)
+        return order_id
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    queries.QUERIES["rerun_row_counts"](spark, small)
+    # Bounds, sizes and numbers each read the lines, for both runs together.
+    assert seen.value <= 3 * lines
+
+
+def test_stored_whole_numbers_are_kept_as_differences(spark, frame, root):
+    name, store = "raw.geolocation", Store(spark, root)
+    points = spark.range(50).select(*[
+        (F.col("id") if c.name == "geolocation_id" else F.lit(None)).cast(c.type).alias(c.name)
+        for c in TABLES[name].columns])
+    draft = store.write(name, points.coalesce(1))
+    folder = f"{root}/{draft.parts[0].path}"
+    used = [parquet.ParquetFile(f"{folder.removeprefix('file:')}/{f}").metadata.row_group(0)
+            for f, _, _ in listed(spark, folder) if f.endswith(".parquet")]
+    written = {used[0].column(i).path_in_schema: used[0].column(i).encodings
+               for i in range(used[0].num_columns)}
+    assert "PLAIN" not in written["geolocation_id"]
+    assert store.read_parts(name, draft.parts).agg(F.sum("geolocation_id")).first()[0] == sum(range(50))
+
+
 def test_stored_files_take_the_denser_codec(spark, frame, root):
     name, store = "staging.sellers", Store(spark, root)
     draft = store.write(name, frame(name, *[{"seller_id": f"s{n}"} for n in range(50)]))
