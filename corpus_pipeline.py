@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids in sequences of at most 4096."""
     prepared(spark)
-    return pack(docs)
+    return pack(docs, keep_chunks=False)  # its workers rest beside other stages
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from parcelhouse.session import checkpointed, shared_dir, tuned
 
+ROWS_PER_FILE = 100_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -53,12 +55,39 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(function, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def giving_back(function: Callable[[Iterator[pa.RecordBatch]], Iterator]) -> Callable:
+    """The same function for mapInArrow; its worker, which lives on beside the executor's heap
+    and waits for other tasks, keeps nothing that was freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back()
+
+    return run
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(name).to_pylist() for name in names]
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder once; a lost executor never recomputes it."""
+def written(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Write a frame to the shared folder once; a lost executor never recomputes it.
+
+    With `rows`, the most it may hold, a small frame is written by fewer tasks: as many as
+    the cluster runs at a time, or one for ROWS_PER_FILE rows. Each file costs an executor
+    several processes of its own (Hadoop sets the rights of local files by calling chmod).
+    """
+    if rows is not None:
+        running = df.sparkSession.sparkContext.defaultParallelism
+        df = df.coalesce(shards_for(rows, ROWS_PER_FILE, running))
     return checkpointed(df)
 
 

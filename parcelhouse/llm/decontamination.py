@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import id_and_text, table, written
+from parcelhouse.llm.common import giving_back, id_and_text, table, written
 from parcelhouse.llm.exact_dedup import key_filter, may_hold
 
 SEED_WORDS = 4
@@ -122,7 +122,8 @@ def gram_hits(docs: DataFrame, bits: bytes, sizes: list[int]) -> DataFrame:
                  pa.array(np.concatenate(places).astype(np.int32))],
                 ["key", "gram", "pos"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, gram long, pos int")
+    return docs.select("key", "text").mapInArrow(
+        giving_back(run), "key long, gram long, pos int")
 
 
 def seeded_places(hits: DataFrame, items: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import id_and_text, table
+from parcelhouse.llm.common import giving_back, id_and_text, table
 
 # Token ids of chunks of text, kept by each Python worker between tasks.
 CACHED_CHUNKS = 700_000
@@ -157,7 +157,7 @@ class Packer:
 
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4096,
-    end_id: int = 2, tokenizer: str | None = None,
+    end_id: int = 2, tokenizer: str | None = None, keep_chunks: bool = True,
 ) -> DataFrame:
     """Pieces of documents, packed into sequences of at most `size` ids.
 
@@ -166,7 +166,8 @@ def pack(
     that holds it, so that nothing is shuffled and a lost task gives the same pieces again.
     At the end of a split the windows still open are merged by cutting pieces; sequences
     shorter than `size` are powers of two, a dozen at most per split. Open windows hold ids of
-    the split only, so a task never holds more than the ids of its split.
+    the split only, so a task never holds more than the ids of its split. `keep_chunks` lets
+    workers keep tokenized chunks for their next split: quicker, but they rest with more memory.
 
     Returns doc_id, start (ids of the document before the piece), length, ids (little-endian
     unsigned 32-bit), doc_tokens, sequence_id, offset (place in the sequence).
@@ -219,12 +220,14 @@ def pack(
                         emit(full)
                 if len(out) >= 2000:
                     yield flush()
+        if not keep_chunks:
+            encoder.cache.clear()
         for window in packer.drain():
             emit(window)
         if out:
             yield flush()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(giving_back(run), schema)
 
 
 def op9_packing(spark, folder: str) -> DataFrame:

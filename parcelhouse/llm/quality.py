@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import id_and_text, table
+from parcelhouse.llm.common import giving_back, id_and_text, table
 from parcelhouse.llm.labelled import held_out, training_sample
 
 CHUNK, OVERLAP = 192, 8
@@ -246,7 +246,7 @@ def keep_good(
                 t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(at)]
             yield batch.filter(pa.array(net.score(texts) >= least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
 
 
 def op8_quality(spark, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelhouse.llm.common import id_and_text, table, tokens, written
+from parcelhouse.llm.common import giving_back, id_and_text, table, tokens, written
 
 QUARTER = 16
 # Fingerprints of a tile, with its guests, that are compared in one piece.
@@ -55,7 +55,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"])
 
-    return rows.mapInArrow(run, f"id {id_type}, fp long")
+    return rows.mapInArrow(giving_back(run), f"id {id_type}, fp long")
 
 
 def tile_neighbours(radius: int) -> list[list[int]]:
@@ -217,13 +217,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round every node joins the neighbour that a hash of the round ranks first, and links
     are carried over to the joined nodes, which leaves a constant share fewer of them. Rounds
-    are cut off by checkpoints in the shared folder; only counts reach the driver.
+    are cut off by checkpoints in the shared folder; only counts reach the driver. They are
+    written by as many tasks as the links left need, so that late rounds are short.
     """
     edges = written(edges.where("a <> b").distinct())
-    mapping = None
+    mapping, nodes = None, 0
     for step in range(ROUNDS):
-        if edges.isEmpty():
+        left = edges.count()
+        if not left:
             break
+        nodes = nodes or 2 * left  # at most; later rounds bring no new ones
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def rank(c: str, step: int = step):
@@ -232,18 +235,17 @@ def components(edges: DataFrame) -> DataFrame:
         parents = written(
             both.groupBy("a").agg(F.min(rank("b")).alias("best"))
             .select(F.col("a").alias("node"),
-                    F.least(rank("a"), F.col("best"))["node"].alias("parent")))
+                    F.least(rank("a"), F.col("best"))["node"].alias("parent")), 2 * left)
         if mapping is None:
             mapping = parents.withColumnRenamed("parent", "root")
         else:
             up = parents.select(F.col("node").alias("root"), "parent")
-            mapping = mapping.join(up, "root", "left").select(
-                "node", F.coalesce("parent", "root").alias("root"))
-        mapping = written(mapping)
+            mapping = written(mapping.join(up, "root", "left").select(
+                "node", F.coalesce("parent", "root").alias("root")), nodes)
         for side in ("a", "b"):
             up = parents.select(F.col("node").alias(side), F.col("parent").alias("to"))
             edges = edges.join(up, side).drop(side).withColumnRenamed("to", side)
-        edges = written(edges.select("a", "b").where("a <> b").distinct())
+        edges = written(edges.select("a", "b").where("a <> b").distinct(), left)
     else:
         raise RuntimeError("links still open after the last round")
     if mapping is None:

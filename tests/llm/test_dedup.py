@@ -4,13 +4,15 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from parcelhouse.llm.exact_dedup import exact_dedup, exact_groups, key_filter, may_hold, passes
 from parcelhouse.llm.line_dedup import line_dedup
-from parcelhouse.llm import simhash
+from parcelhouse.llm import decontamination, packing, quality, simhash
+from parcelhouse.llm.common import giving_back
 from parcelhouse.llm.simhash import (
     _close_pairs, components, fingerprint, near_dedup, simhash_groups)
 
@@ -165,6 +167,74 @@ def test_components_of_a_long_chain(text_spark):
     assert found.select("root").distinct().count() == 1
 
 
+def test_components_of_few_links_write_few_files(text_spark):
+    edges = text_spark.range(300).selectExpr("id AS a", "id + 1 AS b")
+    settings = {"spark.sql.shuffle.partitions": "60",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: text_spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            text_spark.conf.set(k, v)
+        found = components(edges)
+        files = found.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            text_spark.conf.set(k, v)
+    assert files <= text_spark.sparkContext.defaultParallelism
+    assert found.count() == 301 and found.select("root").distinct().count() == 1
+
+
+def own_mb():
+    with open("/proc/self/smaps_rollup") as rollup:
+        return sum(int(line.split()[1]) for line in rollup if line.startswith("Anonymous:")) / 1024
+
+
+def test_workers_give_memory_back():
+    def run(batches):
+        for batch in batches:
+            # Freed below a block that stays, where the C library keeps it.
+            rows = [bytes(2000) for _ in range(40_000)]
+            kept.append(rows[-1])
+            del rows
+            yield batch
+
+    kept, before = [], own_mb()
+    assert list(run([1, 2])) == list(giving_back(run)([1, 2]))
+    assert own_mb() - before < 40
+
+
+def test_worker_functions_of_the_stages_give_back(text_spark, monkeypatch, documents):
+    wrapped = []
+
+    def noting(function):
+        wrapped.append(function)
+        return function
+
+    rows = documents([(1, "some words of a text"), (2, None)])
+    for module in (simhash, packing, quality, decontamination):
+        monkeypatch.setattr(module, "giving_back", noting)
+    simhash.fingerprints(rows)
+    packing.pack(rows)
+    quality.keep_good(rows, quality.Network.start())
+    decontamination.gram_hits(rows.withColumn("key", F.lit(1).cast("bigint")), bytes(1 << 20), [4])
+    assert len(wrapped) == 4
+
+
+def test_packing_workers_keep_chunks_only_if_told(text_spark, documents, monkeypatch):
+    runs = []
+    monkeypatch.setattr(packing, "giving_back", lambda f: runs.append(f) or f)
+    rows = documents([(1, "some words of a text"), (2, None)])
+    for keep in (True, False):
+        packing.pack(rows, keep_chunks=keep)
+    path = packing.default_tokenizer()
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["some words of a text", ""]})
+    found, left = [], []
+    for run in runs:
+        found.append([b.to_pydict() for b in run(iter([batch]))])
+        left.append(len(packing._cache[path]))
+    assert found[0] == found[1] and left[0] > 0 and left[1] == 0
+
+
 def spark_hash(value, seed=42):
     data = value if isinstance(value, bytes) else struct.pack("<q", value)
     return xxhash.xxh64_intdigest(data, seed)
