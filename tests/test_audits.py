@@ -98,3 +98,17 @@ def test_planted_copies_are_counted_beside_their_row(frame):
     assert "Union" not in copies._jdf.queryExecution().optimizedPlan().toString()
     df = audits.primary_keys(tables, ["raw.order_items"])
     assert rows(df) == {("raw.order_items", "order_id, order_item_id", 8, 2, 2)}
+
+
+def test_spoilt_rows_are_judged_once_and_padded_in_few_steps(frame):
+    """Two looks at the key a row, not two a column; texts are cut or filled up to 600 characters."""
+    items = [{"order_id": o, "product_id": p, "seller_id": s, "price": 1} for o, p, s in (
+        ("o1", "p", "s"), ("o3", "\u00e9" * 599, "y" * 700), ("o13", None, ""), ("o5", "p", "s"))]
+    df = planted.with_spoilt_values(only(frame, order_items=items))("raw.order_items")
+    assert rows(df, "order_id", "product_id", "seller_id", "price") == {
+        ("o1", "p", "s", 1), (None, None, None, None),
+        ("o3".ljust(600, "x"), "\u00e9" * 599 + "x", "y" * 600, 1),
+        ("o13".ljust(600, "x"), "x" * 600, "x" * 600, 1)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") + plan.count("rlike") <= 2
+    assert f", 600, {'x' * 60})" in df._jdf.queryExecution().analyzed().toString()
