@@ -3,7 +3,7 @@
 import pytest
 
 from comparing import rows
-from parcelhouse.operators.keys import orphans
+from parcelhouse.operators.keys import orphans, unmatched
 from parcelhouse.plans import audits, planted
 
 
@@ -112,3 +112,34 @@ def test_spoilt_rows_are_judged_once_and_padded_in_few_steps(frame):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") + plan.count("rlike") <= 2
     assert f", 600, {'x' * 60})" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_unmatched_keys_of_several_children(spark):
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a")], "p int, q string")
+    one = spark.createDataFrame([(1, "a"), (3, "a"), (3, "a"), (4, "b"), (None, "c")], "k int, l string")
+    two = spark.createDataFrame([("a", 2), ("b", 2), ("b", None)], "m string, n int")
+    empty = one.where("k > 9")
+    found = unmatched(parent, ["p", "q"], [(one, ["k", "l"]), (two, ["n", "m"]), (empty, ["k", "l"])])
+    assert rows(found) == {(2, 1, 0)}
+    assert rows(unmatched(empty, ["k"], [(one, ["k"])])) == {(3,)}
+    lost = orphans(one, ["k", "l"], parent, ["p", "q"])
+    assert rows(lost) == {(3, "a", 2), (4, "b", 1)}
+
+
+def test_parents_are_read_once_for_all_tables_that_arrive_whole(frame):
+    order = {"order_id": "o", "customer_id": "c"}
+    tables = only(frame, orders=[order], customers=[{"customer_id": "c"}], order_payments=[
+        {"order_id": "o", "payment_sequential": 1}, {"order_id": "x", "payment_sequential": 1}],
+        order_reviews=[{"review_id": "r", "order_id": "y"}])
+    looked_up = []
+
+    def parents(name):
+        looked_up.append(name)
+        return tables(name)
+
+    names = ["raw.customers", "raw.orders", "raw.order_payments", "raw.order_reviews"]
+    with pytest.raises(audits.IntegrityError) as error:
+        audits.enforce(tables, parents, names, {})
+    assert str(error.value) == ("raw.order_payments (order_id) -> raw.orders; "
+                                "raw.order_reviews (order_id) -> raw.orders")
+    assert sorted(looked_up) == ["raw.customers", "raw.orders"]
