@@ -1,5 +1,6 @@
 """The CSV reader on awkward files."""
 
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -9,9 +10,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from comparing import rows
+from parcelhouse import queries
 from parcelhouse.sources.csv_files import (
     CsvTables, header, long_records, plain_records, raw_table, spans_lines,
 )
+from parcelhouse.sources.driver_tables import RawTables
 
 REVIEW_HEADER = (
     "review_id,order_id,review_score,review_comment_title,review_comment_message,"
@@ -259,3 +262,24 @@ def test_records_across_runs_of_lines(spark, tmp_path, monkeypatch, bits):
     assert rows(df, "review_id", "review_comment_message") == expected
     partitions = df._jdf.queryExecution().optimizedPlan().toString()
     assert "shiftright" in partitions or ">>" in partitions
+
+
+def test_files_of_one_table_at_a_time(spark, small, monkeypatch):
+    """What was written and read is gone before the next table is written."""
+    monkeypatch.setattr(queries, "BROKEN_TEXTS", {
+        "sellers": "seller_city", "category_translation": "product_category_name_english"})
+    folders, lying, write = [], [], queries.write_csv
+
+    def written(tables, folder, names):
+        lying.append([f for f in folders if os.path.exists(f.removeprefix("file:"))])
+        folders.append(write(tables, folder, names))
+        return folders[-1]
+
+    monkeypatch.setattr(queries, "write_csv", written)
+    found = rows(queries.load_csv_quoted_line_breaks(spark, small))
+    assert lying == [[], []] and not any(os.path.exists(f.removeprefix("file:")) for f in folders)
+    raw, tail = RawTables(spark, small), '\n"x", y'
+    assert found == {("sellers", r["seller_city"] + tail, r["count"])
+                     for r in raw["sellers"].groupBy("seller_city").count().collect()} | {
+        ("category_translation", r[0] + tail, 1)
+        for r in raw["category_translation"].select("product_category_name_english").collect()}
