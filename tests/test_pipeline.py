@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from comparing import rows
 from parcelhouse import queries
+from parcelhouse.operators.digest import multiset_digest
 from parcelhouse.operators.upsert import upsert
 from parcelhouse.plans import facts, pipeline
 from parcelhouse.plans.warehouse import Warehouse
-from parcelhouse.session import scratch_dir
+from parcelhouse.session import REMOVE_SHUFFLES, kept, scratch_dir, shuffles_removed
 from parcelhouse.sources import driver_tables
 from parcelhouse.sources.csv_files import CsvTables, write_csv
 from parcelhouse.sources.driver_tables import RawTables
@@ -467,3 +468,74 @@ def test_small_written_tables_are_broadcast_by_their_rows(spark, frame, root, mo
         assert "BroadcastHashJoin" not in joined()._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_run_that_brought_nothing_new_compares_facts_before_it_writes(spark, frame, root, monkeypatch):
+    name, parents = "analytics.fact_orders", {
+        "analytics.dim_customer": [{**CUSTOMER, "customer_id": "c"}],
+        "analytics.dim_date": [{**DAY, "date_key": 20170105, "full_date": "2017-01-05"},
+                               {**DAY, "date_key": 20170210, "full_date": "2017-02-10"}]}
+    whole = [("a", 20170105, "x"), ("b", 20170210, "x")]
+
+    def run(*orders, city="x"):
+        build = pipeline.Build(Store(spark, root))
+        build.publish({p: lambda p=p, given=given: frame(p, *[
+            {**r, **({"customer_city": city} if "customer_id" in r else {})} for r in given])
+            for p, given in parents.items()})
+        build.merge({name: lambda: bought(frame, *orders)})
+        return build
+
+    first = run(*whole)
+    assert not first.same
+    saved, save = [], Store._save
+    monkeypatch.setattr(Store, "_save", lambda self, table, *how, **more: (
+        saved.append(table), save(self, table, *how, **more))[1])
+    again = run(*whole)
+    assert again.same and name not in saved and again.store.current[name] == first.store.current[name]
+    assert all(p.checked for p in again.store.current[name])
+    assert not run(*whole, city="y").same and name in saved   # compared after it was written
+    changed = run(("a", 20170105, "new"), whole[1])
+    assert rows(changed.table(name), "order_id", "order_status") == {("a", "new"), ("b", "x")}
+
+
+def test_rows_that_come_in_unchanged_are_still_checked(spark, frame, root):
+    """Compared or written, the rules are counted on the rows that come in."""
+    name, store = "analytics.fact_orders", Store(spark, root)
+    long = bought(frame, ("a", 20170105, "s" * 31), ("b", 20170210, "x"))
+    store.publish({name: store.write(name, long)})
+    rules = pipeline.audits.domain_measures(name)
+    counted = [store.merge(name, long, rules, same).measures for same in (True, False)]
+    assert counted[0] == counted[1] and counted[0][f"{name}.order_status: length <= 30"] == 1
+    assert store.merge(name, long.limit(0), rules, True).measures == dict.fromkeys(rules, 0)
+
+
+def test_digest_is_the_sum_of_the_hashes(spark):
+    df = spark.range(2000).selectExpr("id", "if(id % 3 = 0, NULL, concat('t', id)) AS text")
+    found = df.agg(*[a.alias(label) for label, a in multiset_digest(df.columns).items()]).first()
+    hashed = df.selectExpr("xxhash64(id, text, id IS NULL, text IS NULL) AS a",
+                           "xxhash64(1, id, text, id IS NULL, text IS NULL) AS b").collect()
+    assert (found["rows"], int(found["sum_1"]), int(found["sum_2"])) == (
+        2000, sum(r["a"] for r in hashed), sum(r["b"] for r in hashed))
+    assert [*df.where("id < 0").agg(*multiset_digest(df.columns).values()).first()] == [0, 0, 0]
+    assert "decimal(28,0)" not in df.agg(
+        *multiset_digest(df.columns).values())._jdf.queryExecution().analyzed().toString()
+
+
+def test_shuffles_of_a_run_go_with_their_queries(spark, small, root, monkeypatch):
+    seen, before = [], spark.conf.get(REMOVE_SHUFFLES)
+
+    def stop(build, raw):
+        seen.append(spark.conf.get(REMOVE_SHUFFLES))
+        raise ValueError("enough")
+
+    monkeypatch.setattr(pipeline, "load_raw", stop)
+    with pytest.raises(pipeline.PipelineFailed, match="enough"):
+        pipeline.run(spark, RawTables(spark, small), root)
+    assert seen == ["true"] and spark.conf.get(REMOVE_SHUFFLES) == before
+
+
+def test_removed_shuffles_leave_the_rows_readable(spark):
+    """What was shuffled for one query is shuffled again if its plan runs once more."""
+    with shuffles_removed(spark):
+        grouped = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+        assert rows(grouped) == rows(grouped) == rows(kept(grouped))
